@@ -58,3 +58,11 @@ def let(value: Column, body) -> Column:
     element; binding it first keeps per-row work linear.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def round_double(x: Column, digits: int) -> Column:
+    """Round a double the way Python's ``round`` sees it: on the binary value
+    (``0.0001245`` is stored just below the tie and rounds down). Spark's
+    ``round`` works on the decimal string and would round it up."""
+    s = float(10 ** digits)
+    return F.signum(x) * F.floor(F.abs(x) * s + 0.5) / s

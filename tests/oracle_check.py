@@ -44,9 +44,11 @@ def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     b = sorted((tuple(_norm(r[i]) for i in di) for r in duck_rows), key=repr)
     if len(a) != len(b):
         return f"rows differ: {len(a)} vs {len(b)}"
-    bad = [(x, y) for x, y in zip(a, b) if x != y]
-    if bad:
-        return f"{len(bad)} rows differ, first: {bad[0]}"
+    sa, sb = set(a), set(b)
+    only_a, only_b = sorted(sa - sb, key=repr), sorted(sb - sa, key=repr)
+    if only_a or only_b:
+        return (f"{len(only_a)} spark-only / {len(only_b)} duckdb-only rows; cols={order}\n"
+                f"   spark: {only_a[:2]}\n   duckdb: {only_b[:2]}")
     return None
 
 
