@@ -193,7 +193,7 @@ def rrf_fuse(ranked: list[DataFrame], weights: list[float], k: int, c: int = 60,
 def _bigrams(t: Column) -> Column:
     """Adjacent token pairs of a bound token array (``t`` must be a lambda variable)."""
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(t) - 1, F.lit(1))),
-                       lambda i: F.concat_ws(" ", F.element_at(t, i), F.element_at(t, i + 1)))
+                       lambda i: F.concat_ws(" ", F.try_element_at(t, i), F.try_element_at(t, i + 1)))
 
 
 def _coverage(q: Column, p: Column) -> Column:
