@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.plans import agents, retrieval, text
+from tessera.plans import agents, chunks, retrieval, text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 NO_ORACLE: dict = {}
 
-for _m in (retrieval, agents, text):
+for _m in (retrieval, agents, text, chunks):
     QUERIES.update(_m.QUERIES)
     ORACLES.update(_m.ORACLES)
     NO_ORACLE.update(getattr(_m, "NO_ORACLE", {}))
