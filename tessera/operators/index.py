@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import let, token_hash, tokens
+from tessera.functions.text import WS, let, token_hash, tokens
 
 # --------------------------------------------------------------------------- E4
 
@@ -158,24 +158,42 @@ class Bm25Index:
 
 
 def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "text",
-               k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> Bm25Index:
+               k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, materialize: bool = True) -> Bm25Index:
     """Postings, document frequency, document length, average length.
 
     ``idf = ln(N - df + 0.5) - ln(df + 0.5)``; a negative idf becomes
     ``epsilon * mean(idf over all terms)``. Passages without tokens still count
     in N and in the average length.
+
+    One pass over the text: each passage is split once; its first piece is
+    kept as a marker row so that N and the average length come from the same
+    grouped table as the postings. With ``materialize`` the grouped table and
+    the term table are written once to the shared checkpoint folder (the index
+    build), so the query side, the df join and the mean-idf subquery read files
+    instead of re-tokenising the corpus.
     """
-    toks = passages.select(F.col(id_col).alias("chunk_id"), tokens(text_col).alias("toks"))
-    doc_stats = toks.select(F.size("toks").alias("dl"))
-    n_docs = doc_stats.select(F.count(F.lit(1)).cast("double")).scalar()
-    avgdl = doc_stats.select(F.avg("dl")).scalar()
-    # Map-side partial aggregation collapses repeated terms inside a passage
-    # before the shuffle, so the exchange carries postings, not raw tokens.
-    postings = (toks.select("chunk_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-                .groupBy("term", "chunk_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    from tessera.session import cut_lineage
+
+    toks = passages.select(F.col(id_col).alias("chunk_id"),
+                           F.split(F.coalesce(F.col(text_col), F.lit("")), WS).alias("toks"))
+    lead = (F.element_at("toks", 1) == "").cast("int")
+    trail = ((F.size("toks") > 1) & (F.element_at("toks", -1) == "")).cast("int")
+    rows = (toks.select("chunk_id", (F.size("toks") - lead - trail).alias("dl"),
+                        F.posexplode("toks").alias("pos", "term"))
+            .where((F.col("term") != "") | (F.col("pos") == 0)))
+    # map-side partial aggregation: the shuffle carries postings, not raw tokens
+    grouped = rows.groupBy("term", "chunk_id", "dl").agg(
+        F.count_if(F.col("term") != "").alias("tf"), F.max(F.col("pos") == 0).alias("first"))
+    if materialize:
+        grouped = cut_lineage(grouped)
+    docs = grouped.where("first")
+    n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    avgdl = docs.select(F.avg("dl")).scalar()
+    postings = grouped.where(F.col("tf") > 0).select("term", "chunk_id", "dl", "tf")
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    raw = F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
-    df_t = df_t.withColumn("raw_idf", raw)
+    df_t = df_t.withColumn("raw_idf", F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+    if materialize:
+        df_t = cut_lineage(df_t)
     mean_idf = df_t.select(F.avg("raw_idf")).scalar()
     terms = df_t.select("term", "df", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf)
                         .otherwise(F.col("raw_idf")).alias("idf"))

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import let, tokens
+from tessera.functions.text import let, token_rows, tokens
 from tessera.operators.index import Bm25Index, bm25_term_weight
-from tessera.session import fits
+from tessera.session import cut_lineage, fits
 
 # Ranking keys are rounded so that engines that sum in a different order still
 # see exact ties (and break them by id).
@@ -42,7 +42,7 @@ def _score_order(score: str = "score", tiebreak: str = "chunk_id") -> list[Colum
 
 def query_terms(queries: DataFrame, text_col: str = "question") -> DataFrame:
     """(query_id, term, qtf): repeated query tokens count repeatedly."""
-    return (queries.select("query_id", F.explode(tokens(text_col)).alias("term"))
+    return (token_rows(queries, ["query_id"], text_col)
             .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
 
 
@@ -253,7 +253,9 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
     if method in ("dense", "hybrid", "hybrid_rerank"):
         emb = embedder or HashedEmbedder()
         if passage_vecs is None:
-            passage_vecs = emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec")
+            # the vector index: embedded once, written to the shared checkpoint folder
+            passage_vecs = cut_lineage(
+                emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
         if query_vecs is None:
             query_vecs = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
     if method in ("bm25", "hybrid", "hybrid_rerank") and bm25 is None:

@@ -14,6 +14,7 @@ from tessera.operators.evaluate import (KS, containment_truth, delta_vs_baseline
 from tessera.operators.index import HashedEmbedder, bm25_index, l2_normalize
 from tessera.operators.retrieve import METHODS, bm25_topk, dense_topk, retrieve, with_sources
 from tessera.plans import sqlparts as S
+from tessera.session import cut_lineage
 from tessera.sources.driver import doc_corpus, doc_passages, questions, vectors
 
 K = 10
@@ -112,7 +113,7 @@ def _ranked_all(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
     passages = doc_passages(spark, sf)
     qs = questions(spark, sf)
     emb = HashedEmbedder()
-    pv = emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec")
+    pv = cut_lineage(emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
     qv = emb.embed(qs, "question", "query").select("query_id", "vec")
     idx = bm25_index(passages)
     ranked = None

@@ -17,10 +17,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Tables whose rows carry CPU-heavy text or vectors.
+HEAVY = ("documents", "pages", "conversations", "embeddings")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer splits
+    than there are task slots (a file written as one row group is read by one
+    task). A scan that already has enough splits is returned untouched, so at
+    scale this adds no shuffle."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(slots) if n < slots else df
 
 
 def doc_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
