@@ -42,3 +42,24 @@ def test_entry_and_contract(spark):
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == set(NO_ORACLE)
+
+
+def test_chunk_sink_roundtrip_and_missing(spark):
+    import pytest
+
+    from tessera.operators.chunking import chunk_recursive
+    from tessera.sources.sinks import read_chunks, read_qa, write_chunks
+
+    docs = spark.createDataFrame([("a.md", "héllo wörld " * 200)], "source_path string, page_content string")
+    c = chunk_recursive(docs)
+    out = tempfile.mkdtemp(prefix="tessera-chunks-") + "/c"
+    n = write_chunks(c, out)
+    back = read_chunks(spark, out)
+    assert n == c.count() == back.count()
+    assert back.where(F.col("page_content").contains("wörld")).count() == n
+    with pytest.raises(FileNotFoundError):
+        read_chunks(spark, "/nonexistent/chunks")
+    empty = tempfile.mkdtemp(prefix="tessera-qa-") + "/qa.jsonl"
+    open(empty, "w").write("\n\n")
+    with pytest.raises(ValueError):
+        read_qa(spark, empty)
