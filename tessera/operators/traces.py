@@ -3,7 +3,8 @@
 Traces are long tables ``(item_id, step order..., tool)``; verdicts are
 aggregations, so an item's calls are never gathered into one array to be
 judged. Conversation operators work on ``(thread_id, seq, role, content,
-tool_calls)``; their ordered windows are per thread.
+tool_calls)``; running counts and step numbers use distributed prefix sums
+(``functions/prefix.py``), so one very long thread is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.prefix import prefix_sum, row_number_by
+
 # Evaluation quadrants and their expected / forbidden tools.
 QUADRANTS = ["docs_only", "code_only", "multi_step", "no_tool"]
 QUADRANT_TOOLS = {
@@ -37,8 +40,8 @@ def select_items(items: DataFrame, limit: int | None = None, quadrant: str | Non
     """A1: optional quadrant filter, then at most ``limit`` items per quadrant in input order."""
     out = items if quadrant is None else items.where(F.col("quadrant") == quadrant)
     if limit:
-        w = Window.partitionBy("quadrant").orderBy(order_col)
-        out = out.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= limit).drop("_n")
+        # a quadrant is a quarter of the items: distributed row numbers, not a window per quadrant
+        out = row_number_by(out, ["quadrant"], [order_col], "_n").where(F.col("_n") <= limit).drop("_n")
     return out
 
 
@@ -175,8 +178,8 @@ def current_query(messages: DataFrame, key: str = "thread_id") -> DataFrame:
 def turns(messages: DataFrame, key: str = "thread_id") -> DataFrame:
     """Turn number = running count of user messages; rows before the first
     user message belong to turn 0. A turn's new messages are its rows."""
-    w = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return messages.withColumn("turn_no", F.sum(F.when(F.col("role") == "user", 1).otherwise(0)).over(w))
+    return prefix_sum(messages, [key], ["seq"], F.when(F.col("role") == "user", 1).otherwise(0).cast("bigint"),
+                      "turn_no")
 
 
 def approx_tokens(role: Column, content: Column, extra: Column | None = None) -> Column:
@@ -192,8 +195,10 @@ def trim_history(messages: DataFrame, budget: int = 8000, key: str = "thread_id"
     then started at its first user message; if nothing is left, the last
     message alone. Returns the kept rows (stored rows are untouched)."""
     m = messages.withColumn("_tok", approx_tokens(F.col("role"), F.col("content")))
-    w = Window.partitionBy(key).orderBy(F.col("seq").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    m = m.withColumn("_suffix", F.sum("_tok").over(w))
+    # suffix sum = thread total - prefix before the row (both without a per-thread window)
+    tot = m.groupBy(key).agg(F.sum("_tok").alias("_all"))
+    m = prefix_sum(m, [key], ["seq"], F.col("_tok"), "_pre").join(tot, key)
+    m = m.withColumn("_suffix", F.col("_all") - F.col("_pre") + F.col("_tok")).drop("_all", "_pre")
     inside = m.where(F.col("_suffix") <= budget)
     start = inside.where(F.col("role") == "user").groupBy(key).agg(F.min("seq").alias("_start"))
     kept = inside.join(start, key).where(F.col("seq") >= F.col("_start")).drop("_start")
@@ -230,9 +235,8 @@ def display_rows(messages: DataFrame, key: str = "thread_id") -> DataFrame:
                           | ((F.col("role") == "assistant") & ~has_calls & (F.coalesce("content", F.lit("")) != "")))
 
 
-def iteration_flags(steps: DataFrame, cap: int = 5, key: str = "thread_id") -> DataFrame:
+def iteration_flags(steps: DataFrame, cap: int = 5, key: str = "thread_id", order=("seq",)) -> DataFrame:
     """Assistant step number per (thread, turn); ``capped`` marks a step at
     the cap that still has calls pending (the run stops there)."""
-    w = Window.partitionBy(key, "turn_no").orderBy("seq")
-    a = steps.where(F.col("role") == "assistant").withColumn("step", F.row_number().over(w))
+    a = row_number_by(steps.where(F.col("role") == "assistant"), [key, "turn_no"], list(order), "step")
     return a.withColumn("capped", (F.col("step") == cap) & F.col("has_calls"))

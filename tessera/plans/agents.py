@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.prefix import row_number_by
 from tessera.functions.quantiles import exact_quantiles
 from tessera.operators import errors as L
 from tessera.operators import traces as A
@@ -281,9 +282,7 @@ UNION ALL SELECT conv_id::BIGINT, turn::BIGINT, role FROM fb"""
 
 
 def _event_steps(spark: SparkSession, sf: str) -> DataFrame:
-    ev = tool_events(spark, sf)
-    w = Window.partitionBy("item_id").orderBy(*ORDER)
-    return ev.withColumn("seq", F.row_number().over(w))
+    return row_number_by(tool_events(spark, sf), ["item_id"], ORDER, "seq")
 
 
 def q_thread_trace(spark: SparkSession, sf: str) -> DataFrame:
@@ -311,8 +310,8 @@ SELECT user_id::BIGINT, seq::BIGINT, 'tool_result', coalesce(tool, 'tool'), subs
 def q_iteration_cap(spark: SparkSession, sf: str) -> DataFrame:
     s = tool_events(spark, sf).select(
         F.col("item_id").alias("thread_id"), F.date_format("ts", "yyyy-MM-dd").alias("turn_no"),
-        F.struct(*ORDER).alias("seq"), F.lit("assistant").alias("role"), F.col("tool").isNotNull().alias("has_calls"))
-    f = A.iteration_flags(s)
+        "ts", "event_id", F.lit("assistant").alias("role"), F.col("tool").isNotNull().alias("has_calls"))
+    f = A.iteration_flags(s, order=ORDER)
     return f.groupBy("thread_id", "turn_no").agg(
         F.count(F.lit(1)).cast("bigint").alias("steps"), F.max(F.col("capped").cast("int")).cast("boolean").alias("capped")
     ).select(F.col("thread_id").cast("bigint").alias("thread_id"), "turn_no", "steps", "capped")

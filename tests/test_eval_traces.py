@@ -138,3 +138,16 @@ def test_usage_two_models_and_unknown(spark):
     assert rep["r1"].cost_usd == round(3000 / 1e6 * 0.15 + 300 / 1e6 * 0.60, 6)
     assert rep["r2"].cost_usd is None and rep["r2"].cost_krw is None
     assert "r3" not in rep  # no usage at all -> no report row (usage info null)
+
+
+def test_prefix_sum_hot_key_equals_window(spark):
+    from pyspark.sql import Window
+
+    from tessera.functions.prefix import prefix_sum, row_number_by
+    rows = [("hot", i, i % 3) for i in range(5000)] + [("cold", i, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, seq long, v long").repartition(6)
+    got = prefix_sum(df, ["k"], ["seq"], F.col("v"), "cum")
+    want = df.withColumn("cum", F.sum("v").over(Window.partitionBy("k").orderBy("seq")))
+    assert got.select("k", "seq", "cum").exceptAll(want.select("k", "seq", "cum")).count() == 0
+    rn = row_number_by(df, ["k"], ["seq"]).where(F.col("k") == "hot").agg(F.min("row_no"), F.max("row_no")).first()
+    assert tuple(rn) == (1, 5000)
