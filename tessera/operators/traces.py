@@ -240,3 +240,9 @@ def iteration_flags(steps: DataFrame, cap: int = 5, key: str = "thread_id", orde
     the cap that still has calls pending (the run stops there)."""
     a = row_number_by(steps.where(F.col("role") == "assistant"), [key, "turn_no"], list(order), "step")
     return a.withColumn("capped", (F.col("step") == cap) & F.col("has_calls"))
+
+
+def map_roles(role: Column, mapping: dict = ROLE_TO_CHAT) -> Column:
+    """Role names mapped by a fixed table (unknown roles pass through)."""
+    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.coalesce(F.element_at(m, role), role)

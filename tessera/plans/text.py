@@ -327,3 +327,38 @@ ORACLES = {
     "quota_check": SQL_QUOTA_CHECK,
     "difficulty_summary": SQL_DIFFICULTY_SUMMARY,
 }
+
+
+# ---------------------------------------------------------------- judge_samples
+
+def q_judge_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 over the BM25 top-5 contexts; response = final assistant answer of the
+    conversation with the same id, reference = first containing document path."""
+    from tessera.operators.traces import final_answers
+
+    qs, docs = questions(spark, sf), doc_corpus(spark, sf)
+    truth = V.containment_truth(qs, docs)
+    ref = truth.groupBy("query_id").agg(F.min("source_path").alias("reference"))
+    ans = final_answers(messages(spark, sf)).select(F.col("thread_id").alias("query_id"), "answer")
+    s = V.judge_samples(qs.join(ref, "query_id", "left"), ans, _ranked_ctx(spark, sf))
+    return s.select(F.col("query_id").cast("bigint").alias("query_id"), "user_input",
+                    F.size("retrieved_contexts").cast("bigint").alias("n_contexts"),
+                    F.array_join("retrieved_contexts", C.BLOCK_SEP).alias("contexts"), "response", "reference")
+
+
+SQL_JUDGE_SAMPLES = _SQL_CTX + f""",
+ctx AS (SELECT r.query_id, count(*) AS n, string_agg(p.text, {_sql_str(C.BLOCK_SEP)} ORDER BY r.rank) AS contexts
+        FROM r JOIN passages p USING (chunk_id) GROUP BY r.query_id),
+ref AS (SELECT q.query_id, min(p.source_path) AS reference FROM questions q JOIN passages p ON contains(p.text, q.question)
+        GROUP BY q.query_id),
+fin AS (SELECT conv_id AS query_id, arg_max(text, turn) AS answer FROM conversations
+        WHERE role = 'assistant' AND text IS NOT NULL AND text <> '' GROUP BY conv_id),
+thr AS (SELECT DISTINCT conv_id AS query_id FROM conversations)
+SELECT q.query_id::BIGINT AS query_id, q.question AS user_input, coalesce(ctx.n, 0)::BIGINT AS n_contexts,
+       coalesce(ctx.contexts, '') AS contexts,
+       CASE WHEN thr.query_id IS NOT NULL THEN coalesce(fin.answer, '(no answer)') END AS response, ref.reference
+FROM questions q LEFT JOIN ctx USING (query_id) LEFT JOIN ref USING (query_id)
+     LEFT JOIN fin USING (query_id) LEFT JOIN thr USING (query_id)"""
+
+QUERIES["judge_samples"] = q_judge_samples
+ORACLES["judge_samples"] = SQL_JUDGE_SAMPLES

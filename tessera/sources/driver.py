@@ -17,25 +17,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry CPU-heavy text or vectors.
-HEAVY = ("documents", "pages", "conversations", "embeddings")
+# Tables whose rows carry CPU-heavy text or vectors, with their unique row id
+# (None: no unique id, spread round-robin).
+HEAVY = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id", "conversations": None}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in HEAVY else df
+    return spread(df, HEAVY[name]) if name in HEAVY else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields fewer splits
-    than there are task slots (a file written as one row group is read by one
-    task). A scan that already has enough splits is returned untouched, so at
-    scale this adds no shuffle."""
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread the rows over the cluster when the scan yields fewer splits than
+    there are task slots (a file written as one row group is read by one task).
+    Hash on a unique id when there is one (no skew, no sort needed for a
+    deterministic retry), else round-robin. A scan that already has enough
+    splits is returned untouched, so at scale this adds no shuffle."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    return df.repartition(slots) if n < slots else df
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key) if key else df.repartition(slots)
 
 
 def doc_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:

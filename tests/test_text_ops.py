@@ -105,3 +105,36 @@ def test_markdown_sections(spark):
     assert [r.page_content for r in rows] == ["intro", "# Title\n## Sub\ntext a\n```\n# not a header\n```",
                                              "## Sub2\ntext b", "# Top2\ntext d"]
     assert dict(rows[2].metadata)["h2"] == "Sub2" and "h2" not in dict(rows[3].metadata)
+
+
+def test_web_results_block_and_gate(spark):
+    res = spark.createDataFrame([
+        (1, [{"url": "http://a", "title": "A", "content": "x"}, {"url": None, "title": "B", "content": "y"}]),
+        (2, [])], "query_id long, results array<struct<url:string,title:string,content:string>>")
+    out = {r.query_id: r.block for r in C.web_results_block(res).collect()}
+    assert out[1] == "http://a\nA\nx\n\n---\n\nunknown\nB\ny"
+    assert out[2] == C.NO_WEB
+    passed, blocked = G.gate(spark.createDataFrame([(1, True), (2, None), (3, False)], "id long, b boolean"), F.col("b"))
+    assert sorted(r.id for r in passed.collect()) == [2, 3] and [r.id for r in blocked.collect()] == [1]
+
+
+def test_judge_samples_mix_check_curated_roles(spark):
+    from tessera.operators import evaluate as V
+    from tessera.operators.traces import map_roles
+
+    qa = spark.createDataFrame([(1, "q1", "ref1"), (2, "q2", None)], "query_id long, question string, reference string")
+    ranked = spark.createDataFrame([(1, 2, "b"), (1, 1, "a")], "query_id long, rank int, text string")
+    ans = spark.createDataFrame([(1, "ans")], "query_id long, answer string")
+    s = {r.query_id: r for r in V.judge_samples(qa, ans, ranked).collect()}
+    assert s[1].retrieved_contexts == ["a", "b"] and s[1].response == "ans" and s[2].retrieved_contexts == []
+    assert [r.id for r in V.first_questions(spark.createDataFrame([("qa_0002",), ("qa_0001",)], "id string"), 1).collect()] == ["qa_0001"]
+    quota = spark.createDataFrame([("f", 1, 1, 0)], "source_file string, factual int, howto int, compare int")
+    got = spark.createDataFrame([("f", "factual"), ("f", "factual")], "source_file string, difficulty string")
+    diff = {(r.difficulty, r.requested, r.obtained) for r in V.mix_check(got, quota).collect()}
+    assert diff == {("factual", 1, 2), ("howto", 1, 0)}
+    docs = spark.createDataFrame([("a.md",), ("b.md",)], "source_path string")
+    cur = spark.createDataFrame([("a.md",), ("z.md",)], "source_path string")
+    found, missing = V.curated_subset(docs, cur)
+    assert [r.source_path for r in found.collect()] == ["a.md"] and [r.source_path for r in missing.collect()] == ["z.md"]
+    roles = spark.createDataFrame([("human",), ("ai",), ("other",)], "r string").select(map_roles(F.col("r")).alias("m"))
+    assert [r.m for r in roles.collect()] == ["user", "assistant", "other"]
