@@ -196,23 +196,27 @@ def _bigrams(t: Column) -> Column:
                        lambda i: F.concat_ws(" ", F.try_element_at(t, i), F.try_element_at(t, i + 1)))
 
 
-def _coverage(q: Column, p: Column) -> Column:
-    """|distinct(q) ∩ distinct(p)| / |distinct(q)|, 0 when q is empty."""
-    return let(F.array_distinct(q), lambda qd: F.when(
-        F.size(qd) > 0, F.size(F.array_intersect(qd, F.array_distinct(p))) / F.size(qd)).otherwise(0.0))
-
-
 def overlap_score(question: Column, passage: Column) -> Column:
     """Default pair scorer (R6 plug point): mean of query-term coverage and
-    query-bigram coverage, case-folded, distinct terms. Pure SQL (no Python)."""
+    query-bigram coverage, case-folded, over distinct terms / adjacent pairs.
+
+    The passage is normalised once into `` t1 t2 ... tn `` (single spaces), so a
+    term or a bigram is present exactly when `` term `` / `` a b `` is a
+    substring; only the short query arrays are iterated. Pure SQL (no Python).
+    """
     empty = F.array().cast("array<string>")
+    norm = F.concat(F.lit(" "), F.array_join(tokens(F.lower(passage)), " "), F.lit(" "))
+
+    def frac(items: Column, p: Column) -> Column:
+        hit = F.size(F.filter(items, lambda t: p.contains(F.concat(F.lit(" "), t, F.lit(" ")))))
+        return F.when(F.size(items) > 0, hit / F.size(items)).otherwise(F.lit(0.0))
 
-    def body(qt, pt):
-        qb = F.when(F.size(F.array_distinct(qt)) > 1, _bigrams(qt)).otherwise(empty)
-        pb = F.when(F.size(F.array_distinct(pt)) > 1, _bigrams(pt)).otherwise(empty)
-        return (_coverage(qt, pt) + _coverage(qb, pb)) / 2.0
+    def body(qt: Column, p: Column) -> Column:
+        qd = F.array_distinct(qt)
+        qb = F.array_distinct(F.when(F.size(qt) > 1, _bigrams(qt)).otherwise(empty))
+        return (frac(qd, p) + frac(qb, p)) / 2.0
 
-    return let(tokens(F.lower(question)), lambda qt: let(tokens(F.lower(passage)), lambda pt: body(qt, pt)))
+    return let(tokens(F.lower(question)), lambda qt: let(norm, lambda p: body(qt, p)))
 
 
 def rerank(candidates: DataFrame, queries: DataFrame, passages: DataFrame, top_n: int = 5,
@@ -279,3 +283,38 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
 def with_sources(ranked: DataFrame, passages: DataFrame) -> DataFrame:
     """Attach ``source_path`` to a ranked list (final k rows only)."""
     return ranked.join(passages.select("chunk_id", "source_path"), "chunk_id")
+
+
+def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k: int = 10, fetch_k: int = 20,
+                  dense_weight: float = 0.5, embedder=None) -> dict[str, DataFrame]:
+    """R8 + R9 for several methods at once: the dense and BM25 lists are fetched
+    once at ``max(k, fetch_k)`` and written (questions x fetch_k rows); every
+    method derives from them with ``rank <= k`` predicates. Same results as
+    calling :func:`retrieve` per method."""
+    from tessera.operators.index import HashedEmbedder, bm25_index
+
+    for m in methods:
+        if m not in METHODS:
+            raise ValueError(f"unknown retrieval method: {m!r}")
+    depth = max(k, fetch_k)
+    emb = embedder or HashedEmbedder()
+    keys = passages.select("chunk_id", F.xxhash64("text").alias("content_key"))
+    lists = {}
+    if set(methods) & {"dense", "hybrid", "hybrid_rerank"}:
+        pv = cut_lineage(emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
+        qv = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
+        lists["dense"] = cut_lineage(dense_topk(qv, pv, depth).join(keys, "chunk_id"), "dense_list")
+    if set(methods) & {"bm25", "hybrid", "hybrid_rerank"}:
+        lists["bm25"] = cut_lineage(bm25_topk(queries, bm25_index(passages), depth).join(keys, "chunk_id"), "bm25_list")
+    out = {}
+    cut = lambda df, n: df.where(F.col("rank") <= n)
+    for m in methods:
+        if m in ("dense", "bm25"):
+            out[m] = cut(lists[m], k).select("query_id", "rank", "chunk_id", "score")
+        elif m == "hybrid":
+            out[m] = rrf_fuse([cut(lists["dense"], k), cut(lists["bm25"], k)], [dense_weight, 1.0 - dense_weight], k)
+        else:
+            fused = rrf_fuse([cut(lists["dense"], fetch_k), cut(lists["bm25"], fetch_k)],
+                             [dense_weight, 1.0 - dense_weight], 2 * fetch_k)
+            out[m] = rerank(fused, queries, passages, top_n=k)
+    return out

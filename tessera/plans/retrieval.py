@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.operators.evaluate import (KS, containment_truth, delta_vs_baseline, hit_by_difficulty,
                                         hit_mrr, qa_table, wide_report)
 from tessera.operators.index import HashedEmbedder, bm25_index, l2_normalize
-from tessera.operators.retrieve import METHODS, bm25_topk, dense_topk, retrieve, with_sources
+from tessera.operators.retrieve import METHODS, bm25_topk, dense_topk, retrieve, retrieve_many, with_sources
 from tessera.plans import sqlparts as S
 from tessera.session import cut_lineage
 from tessera.sources.driver import doc_corpus, doc_passages, questions, vectors
@@ -112,16 +112,11 @@ def _ranked_all(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
     """All four methods over one corpus, the QA table and the ground truth."""
     passages = doc_passages(spark, sf)
     qs = questions(spark, sf)
-    emb = HashedEmbedder()
-    pv = cut_lineage(emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
-    qv = emb.embed(qs, "question", "query").select("query_id", "vec")
-    idx = bm25_index(passages)
+    per = retrieve_many(qs, passages, [c["method"] for c in COMBOS], k=max(KS), fetch_k=FETCH_K)
     ranked = None
     for c in COMBOS:
-        r = retrieve(qs, passages, c["method"], k=max(KS), fetch_k=FETCH_K, embedder=emb, bm25=idx,
-                     passage_vecs=pv, query_vecs=qv)
-        r = with_sources(r, passages).select(*[F.lit(c[k]).alias(k) for k in KEYS], "query_id", "rank",
-                                             "chunk_id", "source_path")
+        r = with_sources(per[c["method"]], passages).select(*[F.lit(c[k]).alias(k) for k in KEYS], "query_id",
+                                                             "rank", "chunk_id", "source_path")
         ranked = r if ranked is None else ranked.unionByName(r)
     docs = doc_corpus(spark, sf)
     truth = containment_truth(qs, docs)

@@ -92,16 +92,15 @@ def rerank(name: str, cand: str, top_n: int) -> str:
     """Default pair scorer twin: mean of term and bigram coverage (case-folded, distinct)."""
     return f"""
 {name}_t AS (SELECT c.query_id, c.chunk_id, c.rank AS fetch_rank,
-                    {tokens('lower(q.question)')} AS qt0, {tokens('lower(p.text)')} AS pt0
+                    {tokens('lower(q.question)')} AS qt0,
+                    ' ' || array_to_string({tokens('lower(p.text)')}, ' ') || ' ' AS pn
              FROM {cand} c JOIN questions q USING (query_id) JOIN passages p USING (chunk_id)),
-{name}_s AS (SELECT query_id, chunk_id, fetch_rank,
-                    list_distinct(qt0) AS qt, list_distinct(pt0) AS pt,
-                    CASE WHEN len(list_distinct(qt0)) > 1 THEN list_distinct({_bigrams('qt0')}) ELSE [] END AS qb,
-                    CASE WHEN len(list_distinct(pt0)) > 1 THEN list_distinct({_bigrams('pt0')}) ELSE [] END AS pb
+{name}_s AS (SELECT query_id, chunk_id, fetch_rank, pn, list_distinct(qt0) AS qd,
+                    CASE WHEN len(qt0) > 1 THEN list_distinct({_bigrams('qt0')}) ELSE [] END AS qb
              FROM {name}_t),
 {name}_sc AS (SELECT query_id, chunk_id, fetch_rank,
-                     ((CASE WHEN len(qt) > 0 THEN len(list_intersect(qt, pt)) / len(qt) ELSE 0.0 END) +
-                      (CASE WHEN len(qb) > 0 THEN len(list_intersect(qb, pb)) / len(qb) ELSE 0.0 END)) / 2.0 AS score
+                     ((CASE WHEN len(qd) > 0 THEN len(list_filter(qd, lambda t: contains(pn, ' ' || t || ' '))) / len(qd) ELSE 0.0 END) +
+                      (CASE WHEN len(qb) > 0 THEN len(list_filter(qb, lambda t: contains(pn, ' ' || t || ' '))) / len(qb) ELSE 0.0 END)) / 2.0 AS score
               FROM {name}_s),
 {name} AS (SELECT * FROM (SELECT query_id, chunk_id, score,
                  row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, fetch_rank) AS rank
