@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import let, token_rows, tokens
+from tessera.functions.text import WS, let, token_rows, tokens
 from tessera.operators.index import Bm25Index, bm25_term_weight
 from tessera.session import cut_lineage, fits
 
@@ -37,6 +37,16 @@ def _score_order(score: str = "score", tiebreak: str = "chunk_id") -> list[Colum
     return [F.round(F.col(score), RANK_DIGITS).desc(), F.col(tiebreak).asc()]
 
 
+def attach_text(ranked: DataFrame, passages: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join passage text onto a ranked list (final k rows or re-rank candidates).
+
+    The ranked side is bounded (questions x k); when it fits it is broadcast and
+    the passage table streams past it, so wide text is never shuffled or
+    built into a hash table."""
+    r = F.broadcast(ranked) if fits(ranked, broadcast_rows) else ranked
+    return passages.select("chunk_id", "text").join(r, "chunk_id")
+
+
 # --------------------------------------------------------------------------- R3
 
 
@@ -196,40 +206,41 @@ def _bigrams(t: Column) -> Column:
                        lambda i: F.concat_ws(" ", F.try_element_at(t, i), F.try_element_at(t, i + 1)))
 
 
-def overlap_score(question: Column, passage: Column) -> Column:
-    """Default pair scorer (R6 plug point): mean of query-term coverage and
-    query-bigram coverage, case-folded, over distinct terms / adjacent pairs.
+def overlap_scores(pairs: DataFrame, q_col: str, p_col: str, out: str = "score") -> DataFrame:
+    """Default pair scorer (R6 plug point, DataFrame -> DataFrame): mean of
+    query-term coverage and query-bigram coverage, case-folded, over distinct
+    terms / adjacent pairs. Pure SQL (no Python).
 
-    The passage is normalised once into `` t1 t2 ... tn `` (single spaces), so a
-    term or a bigram is present exactly when `` term `` / `` a b `` is a
-    substring; only the short query arrays are iterated. Pure SQL (no Python).
+    The passage is normalised once per pair into `` t1 t2 ... tn `` (whitespace
+    runs become one space), kept as a column: terms are matched with a hash
+    intersection against its split, bigrams (a handful per question) with a
+    substring test for `` a b ``.
     """
     empty = F.array().cast("array<string>")
-    norm = F.concat(F.lit(" "), F.array_join(tokens(F.lower(passage)), " "), F.lit(" "))
-
-    def frac(items: Column, p: Column) -> Column:
-        hit = F.size(F.filter(items, lambda t: p.contains(F.concat(F.lit(" "), t, F.lit(" ")))))
-        return F.when(F.size(items) > 0, hit / F.size(items)).otherwise(F.lit(0.0))
-
-    def body(qt: Column, p: Column) -> Column:
-        qd = F.array_distinct(qt)
-        qb = F.array_distinct(F.when(F.size(qt) > 1, _bigrams(qt)).otherwise(empty))
-        return (frac(qd, p) + frac(qb, p)) / 2.0
-
-    return let(tokens(F.lower(question)), lambda qt: let(norm, lambda p: body(qt, p)))
+    d = (pairs.withColumn("_pn", F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.col(p_col)), WS, " ")),
+                                          F.lit(" ")))
+         .withColumn("_qt", tokens(F.lower(F.col(q_col)))))
+    d = d.withColumn("_qd", F.array_distinct("_qt")).withColumn(
+        "_qb", F.array_distinct(F.when(F.size("_qt") > 1, _bigrams(F.col("_qt"))).otherwise(empty)))
+    terms = F.size(F.array_intersect("_qd", F.split("_pn", " ")))
+    pairs_hit = F.size(F.filter("_qb", lambda b: F.col("_pn").contains(F.concat(F.lit(" "), b, F.lit(" ")))))
+    cov = F.when(F.size("_qd") > 0, terms / F.size("_qd")).otherwise(F.lit(0.0))
+    bcov = F.when(F.size("_qb") > 0, pairs_hit / F.size("_qb")).otherwise(F.lit(0.0))
+    return d.withColumn(out, ((cov + bcov) / 2.0).cast("double")).drop("_pn", "_qt", "_qd", "_qb")
 
 
 def rerank(candidates: DataFrame, queries: DataFrame, passages: DataFrame, top_n: int = 5,
-           scorer=overlap_score, text_col: str = "question") -> DataFrame:
+           scorer=overlap_scores, text_col: str = "question") -> DataFrame:
     """Re-score fetched candidates ``(query_id, rank, chunk_id)`` and keep top_n.
 
-    Only fetched candidates are scored; ties keep the fetched order. Text is
-    joined in for the candidates only.
+    ``scorer(pairs, question_col, passage_col) -> pairs + score`` is the plug
+    point (a cross-encoder would run there as an Arrow-batched UDF). Only
+    fetched candidates are scored; ties keep the fetched order. Text is joined
+    in for the candidates only.
     """
-    c = (candidates.select("query_id", F.col("rank").alias("fetch_rank"), "chunk_id")
-         .join(queries.select("query_id", text_col), "query_id")
-         .join(passages.select("chunk_id", "text"), "chunk_id"))
-    c = c.withColumn("score", scorer(F.col(text_col), F.col("text")).cast("double"))
+    cand = candidates.select("query_id", F.col("rank").alias("fetch_rank"), "chunk_id")
+    c = attach_text(cand, passages).join(queries.select("query_id", text_col), "query_id")
+    c = scorer(c, text_col, "text")
     order = [F.round("score", RANK_DIGITS).desc(), F.col("fetch_rank").asc()]
     return rank_within(c, ["query_id"], order, top_n).select("query_id", "rank", "chunk_id", "score")
 
@@ -277,7 +288,7 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
     fused = rrf_fuse([d, b], [dense_weight, 1.0 - dense_weight], k if method == "hybrid" else 2 * per_list)
     if method == "hybrid":
         return fused
-    return rerank(fused, queries, passages, top_n=k)
+    return rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k)
 
 
 def with_sources(ranked: DataFrame, passages: DataFrame) -> DataFrame:
@@ -316,5 +327,5 @@ def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k
         else:
             fused = rrf_fuse([cut(lists["dense"], fetch_k), cut(lists["bm25"], fetch_k)],
                              [dense_weight, 1.0 - dense_weight], 2 * fetch_k)
-            out[m] = rerank(fused, queries, passages, top_n=k)
+            out[m] = rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k)
     return out

@@ -10,7 +10,8 @@ from tessera.operators import context as C
 from tessera.operators import evaluate as V
 from tessera.operators import guard as G
 from tessera.operators.index import bm25_index
-from tessera.operators.retrieve import bm25_topk, with_sources
+from tessera.operators.retrieve import attach_text, bm25_topk, with_sources
+from tessera.session import cut_lineage
 from tessera.plans import sqlparts as S
 from tessera.sources import corpus as SC
 from tessera.sources.driver import doc_corpus, doc_passages, messages, questions, table
@@ -60,8 +61,8 @@ FROM e"""
 
 def _ranked_ctx(spark: SparkSession, sf: str) -> DataFrame:
     passages = doc_passages(spark, sf)
-    r = bm25_topk(questions(spark, sf), bm25_index(passages), k=CTX_K)
-    return with_sources(r, passages).join(passages.select("chunk_id", "text"), "chunk_id")
+    r = cut_lineage(bm25_topk(questions(spark, sf), bm25_index(passages), k=CTX_K), "ctx")
+    return attach_text(with_sources(r, passages), passages)
 
 
 def q_context_block(spark: SparkSession, sf: str) -> DataFrame:
