@@ -64,20 +64,38 @@ def query_prefix(model: str, side: str) -> str:
     return ""
 
 
-def _bincount_udf(dim: int):
-    """Arrow-batched signed feature hashing: one numpy bincount per batch."""
+def _hashed_udf(dim: int):
+    """Arrow-batched signed feature hashing of whitespace tokens.
+
+    Tokens are ``str.split()`` pieces (the same whitespace set as the SQL
+    tokenizer); a token's hash is the first 8 hex digits of its md5, looked up
+    once per distinct token in the batch; one numpy bincount per batch builds
+    the vectors, which are L2-normalised.
+    """
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def embed(hashes: pd.Series) -> pd.Series:
-        n = len(hashes)
-        lens = np.fromiter((0 if h is None else len(h) for h in hashes), dtype=np.int64, count=n)
-        if lens.sum() == 0:
+    def embed(texts: pd.Series) -> pd.Series:
+        import hashlib
+
+        n = len(texts)
+        cache: dict[str, int] = {}
+        rows, hs = [], []
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            for tok in t.split():
+                h = cache.get(tok)
+                if h is None:
+                    h = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16)
+                    cache[tok] = h
+                hs.append(h)
+                rows.append(i)
+        if not hs:
             return pd.Series([np.zeros(dim)] * n)
-        flat = np.concatenate([np.asarray(h, dtype=np.int64) for h in hashes if h is not None and len(h)])
-        rows = np.repeat(np.arange(n), lens)
-        bucket = flat % dim
+        flat = np.asarray(hs, dtype=np.int64)
+        r = np.asarray(rows, dtype=np.int64)
         sign = np.where((flat // dim) % 2 == 0, 1.0, -1.0)
-        mat = np.bincount(rows * dim + bucket, weights=sign, minlength=n * dim).reshape(n, dim)
+        mat = np.bincount(r * dim + flat % dim, weights=sign, minlength=n * dim).reshape(n, dim)
         norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
         mat = np.divide(mat, norm, out=np.zeros_like(mat), where=norm > 0)
         return pd.Series(list(mat))
@@ -89,8 +107,8 @@ def _bincount_udf(dim: int):
 class HashedEmbedder:
     """Default embedding plug point (E1): signed hashed term counts, L2-normalised.
 
-    Tokenising and hashing run in the JVM; only the per-batch bincount runs in
-    Python (Arrow batches). Deterministic, so an SQL twin exists.
+    One small Arrow-batched helper: split, md5 per distinct token, one bincount
+    per batch. Deterministic, so an SQL twin exists.
     """
 
     dim: int = 256
@@ -99,8 +117,7 @@ class HashedEmbedder:
     def embed(self, df: DataFrame, text_col: str, side: str = "passage", out: str = "vec") -> DataFrame:
         prefix = query_prefix(self.model, side)
         text = F.concat(F.lit(prefix), F.col(text_col)) if prefix else F.col(text_col)
-        hashes = F.transform(tokens(text), lambda t: token_hash(t))
-        return df.withColumn(out, _bincount_udf(self.dim)(hashes))
+        return df.withColumn(out, _hashed_udf(self.dim)(text))
 
 
 @dataclass(frozen=True)
@@ -239,7 +256,8 @@ def write_index(chunks: DataFrame, path: str, strategy: str, model: str, reset:
         except Exception:  # noqa: BLE001 - no stored index yet
             pass
     (chunks.withColumn("strategy", F.lit(strategy)).withColumn("model", F.lit(slug))
-     .write.mode("overwrite").partitionBy("strategy", "model").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("strategy", "model").parquet(path))
     return int(want["n"])
 
 

@@ -63,3 +63,19 @@ def test_chunk_sink_roundtrip_and_missing(spark):
     open(empty, "w").write("\n\n")
     with pytest.raises(ValueError):
         read_qa(spark, empty)
+
+
+def test_index_partitions_are_idempotent_and_isolated(spark):
+    from tessera.operators.index import open_index, write_index
+
+    base = tempfile.mkdtemp(prefix="tessera-idx-") + "/idx"
+    a = spark.createDataFrame([("c1", "x"), ("c2", "y")], "chunk_id string, page_content string")
+    b = spark.createDataFrame([("d1", "z")], "chunk_id string, page_content string")
+    assert write_index(a, base, "recursive", "BAAI/bge-m3") == 2
+    assert write_index(b, base, "fixed", "BAAI/bge-m3") == 1
+    assert write_index(a, base, "recursive", "BAAI/bge-m3") == 2          # skipped: same count
+    assert open_index(spark, base, "recursive", "bge-m3").count() == 2    # the other partition survives
+    assert open_index(spark, base, "fixed", "BAAI/bge-m3").count() == 1
+    import pytest
+    with pytest.raises(ValueError):
+        open_index(spark, base, "markdown", "BAAI/bge-m3")
