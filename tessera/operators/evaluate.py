@@ -18,16 +18,19 @@ KS = (3, 5, 10)
 
 
 def containment_truth(questions: DataFrame, docs: DataFrame, q_text: str = "question",
-                      d_text: str = "page_content", broadcast_rows: int = 100_000) -> DataFrame:
+                      d_text: str = "page_content", broadcast_rows: int = 1_000) -> DataFrame:
     """``(query_id, source_path)`` for every document whose text contains the question.
 
-    A bounded question table is broadcast and tested against each document
-    (nested loop over the stream of documents, no shuffle of documents). A
-    larger one goes through an exact token route: a question with three or more
-    whitespace tokens has whole interior tokens, one of which (its rarest) must
-    appear as a whole token in any containing document; candidates from that
-    equi-join are confirmed with ``contains``. Questions with fewer tokens are
-    bounded by vocabulary and take the broadcast route.
+    A small question table (size-checked) is broadcast and tested against each
+    document as the documents stream past (no shuffle of documents). A larger
+    one goes through an exact token route: a question with three or more
+    whitespace tokens has whole interior tokens, and any containing document
+    has each of them as a whole token; the question's rarest interior token
+    (lowest document frequency, so a hot token is never the join key unless
+    every token is hot) selects candidate documents through an equi-join on
+    narrow ``(source_path, term)`` rows, and only candidates get their text
+    back for the ``contains`` check. Questions with fewer tokens use the
+    broadcast test.
     """
     q = questions.select("query_id", F.col(q_text).alias("q"))
     d = docs.select("source_path", F.col(d_text).alias("t"))
@@ -36,16 +39,17 @@ def containment_truth(questions: DataFrame, docs: DataFrame, q_text: str = "ques
                 .select("query_id", "source_path"))
     qt = q.withColumn("toks", tokens(F.col("q")))
     interior = qt.where(F.size("toks") >= 3).select(
-        "query_id", "q", F.explode(F.slice("toks", 2, F.size("toks") - 2)).alias("term"))
-    doc_terms = d.select("source_path", "t", F.explode(F.array_distinct(tokens(F.col("t")))).alias("term"))
+        "query_id", F.explode(F.slice("toks", 2, F.size("toks") - 2)).alias("term"))
+    doc_terms = d.select("source_path", F.explode(F.array_distinct(tokens(F.col("t")))).alias("term"))
     df_t = doc_terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    pick = (interior.join(df_t, "term", "left").groupBy("query_id", "q")
+    pick = (interior.join(df_t, "term", "left").groupBy("query_id")
             .agg(F.min_by("term", F.coalesce("df", F.lit(0))).alias("term")))
-    long_hits = (doc_terms.join(pick, "term").where(F.col("t").contains(F.col("q")))
-                 .select("query_id", "source_path"))
+    cand = doc_terms.join(pick, "term").select("query_id", "source_path")
+    long_hits = (cand.join(d, "source_path").join(q, "query_id")
+                 .where(F.col("t").contains(F.col("q"))).select("query_id", "source_path"))
     short = qt.where(F.size("toks") < 3).select("query_id", "q")
     short_hits = d.join(F.broadcast(short), F.col("t").contains(F.col("q"))).select("query_id", "source_path")
-    return long_hits.unionByName(short_hits).distinct()
+    return long_hits.unionByName(short_hits)
 
 
 def qa_table(questions: DataFrame, truth: DataFrame, docs: DataFrame) -> DataFrame:

@@ -151,3 +151,16 @@ def test_prefix_sum_hot_key_equals_window(spark):
     assert got.select("k", "seq", "cum").exceptAll(want.select("k", "seq", "cum")).count() == 0
     rn = row_number_by(df, ["k"], ["seq"]).where(F.col("k") == "hot").agg(F.min("row_no"), F.max("row_no")).first()
     assert tuple(rn) == (1, 5000)
+
+
+def test_containment_token_route_equals_broadcast_route(spark):
+    from conftest import SF001
+    from tessera.sources.driver import doc_corpus, questions
+
+    qs = questions(spark, SF001).unionByName(
+        spark.createDataFrame([(900001, "a"), (900002, "the and")], "query_id long, question string"))
+    docs = doc_corpus(spark, SF001)
+    a = V.containment_truth(qs, docs)                       # broadcast route
+    b = V.containment_truth(qs, docs, broadcast_rows=0)     # token route
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
