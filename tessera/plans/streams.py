@@ -33,7 +33,7 @@ def q_event_stream(spark: SparkSession, sf: str) -> DataFrame:
     dropped within the watermark, one summary per run."""
     base = X.scratch(spark, "events")
     src = (X.file_stream(spark, sf, X.EVENT_SCHEMA, glob="events.parquet")
-           .withWatermark("ts", "3650 days").dropDuplicatesWithinWatermark(["event_id"]))
+           .withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["event_id"]))
     X.write_complete(X.run_summaries(X.event_projection(src)), os.path.join(base, "out"), os.path.join(base, "ckpt"))
     r = spark.read.parquet(os.path.join(base, "out"))
     return r.select(F.col("run_id").cast("bigint").alias("run_id"), F.col("n_tool_calls").cast("bigint").alias("n_tool_calls"),
