@@ -39,6 +39,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEM", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -76,3 +77,27 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in the Python workers of this context.
+
+    Arrow UDFs and ``mapInPandas`` bodies live in this package; workers import
+    them by module name. The package is zipped once per SparkContext and sent
+    with ``addPyFile`` (Spark's file server distributes it to every executor).
+    """
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="tessera-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "tessera"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
