@@ -152,10 +152,22 @@ def q_frontmatter(spark: SparkSession, sf: str) -> DataFrame:
                      (F.col("fm.body") != F.col("page_content")).alias("changed"))
 
 
-SQL_FRONTMATTER = """
-SELECT doc_id, 0::BIGINT AS n_meta, length(text)::BIGINT AS body_chars,
-       (starts_with(text, '---') AND strpos(substr(text, 4), chr(10) || '---') > 0) AS changed
-FROM documents"""
+SQL_FRONTMATTER = r"""
+WITH x AS (SELECT doc_id, text, strpos(substr(text, 4), chr(10) || '---') AS e FROM documents),
+b AS (SELECT doc_id, text, starts_with(text, '---') AND e > 0 AS has,
+             CASE WHEN starts_with(text, '---') AND e > 0 THEN substr(text, 4, e - 1) END AS block,
+             CASE WHEN starts_with(text, '---') AND e > 0 THEN regexp_replace(substr(text, e + 7), '^
++', '') END AS body
+      FROM x),
+l AS (SELECT *, list_filter(string_split(coalesce(block, ''), chr(10)),
+                            lambda z: trim(z) <> '' AND NOT starts_with(trim(z), '#')) AS lines FROM b),
+m AS (SELECT *, has AND (len(lines) = 0 OR regexp_matches(lines[1], '^[A-Za-z0-9_][A-Za-z0-9_ .-]*:(\s|$)')) AS ok,
+             len(list_filter(lines, lambda z: regexp_matches(z, '^[A-Za-z0-9_][A-Za-z0-9_ .-]*:\s*\S'))) AS n_keys
+      FROM l)
+SELECT doc_id, (CASE WHEN ok THEN n_keys ELSE 0 END)::BIGINT AS n_meta,
+       length(CASE WHEN ok THEN body ELSE text END)::BIGINT AS body_chars,
+       coalesce(ok, FALSE) AND body <> text AS changed
+FROM m"""
 
 
 # ---------------------------------------------------------------- manifest
