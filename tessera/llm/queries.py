@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, warc
+from tessera.llm import exact_dedup, mixing, secret_scan, topk, warc
 from tessera.llm.common import read_table
+from tessera.session import checkpoint_dir
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +22,22 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    ledger = f"{checkpoint_dir(spark).rstrip('/')}/tessera-ledgers/{uuid.uuid4().hex}"
+    secret_scan.scan_unseen(docs, ledger)
+    f = secret_scan.findings(docs, ledger)
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("found", lambda s: s["no"] < len(secret_scan.BASE_RULES))
+    return f.select("doc_id", count("assign"), count("access"), count("hex"),
+                    F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.label_copies(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +45,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_warc_revisits": op3_warc_revisits,
+    "op6_secret_ledger": op6_secret_ledger,
+    "op9_exact_topk": op9_exact_topk,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -57,4 +78,14 @@ g AS (SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
-ORACLES = {"op2_source_mix": SQL_MIX, "op10_exact_dedup": SQL_DEDUP}
+SQL_TOPK = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLES = {"op2_source_mix": SQL_MIX, "op9_exact_topk": SQL_TOPK, "op10_exact_dedup": SQL_DEDUP}
