@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, secret_scan, topk, warc
+from tessera.llm import exact_dedup, mixing, packing, secret_scan, topk, warc
 from tessera.llm.common import read_table
 from tessera.session import checkpoint_dir
 
@@ -22,6 +22,16 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=0)
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     ledger = f"{checkpoint_dir(spark).rstrip('/')}/tessera-ledgers/{uuid.uuid4().hex}"
@@ -45,6 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_warc_revisits": op3_warc_revisits,
+    "op5_pattern_packing": op5_pattern_packing,
     "op6_secret_ledger": op6_secret_ledger,
     "op9_exact_topk": op9_exact_topk,
     "op10_exact_dedup": op10_exact_dedup,
