@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, packing, secret_scan, topk, warc
+from tessera.llm import exact_dedup, html_extract, langid, mixing, packing, secret_scan, topk, toxicity, warc
 from tessera.llm.common import read_table
 from tessera.session import checkpoint_dir
 
@@ -22,6 +22,32 @@ def op3_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def remainder(column: str, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``; the folds of the contracts."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % by
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.fit(docs, labels, remainder("doc_id", 5) != 0, max_rows=40_000)
+
+
+def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    s = toxicity.score(docs, toxicity_model(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")))
+    return s.select("doc_id", (F.coalesce(remainder("doc_id", 5), F.lit(1)) == 0).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+def op7_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    p = langid.identify(docs, remainder("doc_id", 4) != 2, per_language=600, max_sample=6000)
+    return p.select("doc_id", (F.coalesce(remainder("doc_id", 4), F.lit(0)) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -55,8 +81,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_warc_revisits": op3_warc_revisits,
+    "op4_toxic_segments": op4_toxic_segments,
     "op5_pattern_packing": op5_pattern_packing,
     "op6_secret_ledger": op6_secret_ledger,
+    "op7_html_mincut": op7_html_mincut,
+    "op8_language_id": op8_language_id,
     "op9_exact_topk": op9_exact_topk,
     "op10_exact_dedup": op10_exact_dedup,
 }
