@@ -7,11 +7,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, html_extract, langid, mixing, packing, secret_scan, topk, toxicity, warc
+from tessera.llm import dart_minhash, exact_dedup, html_extract, langid, mixing, packing, secret_scan, topk, toxicity, warc
 from tessera.llm.common import read_table
 from tessera.session import checkpoint_dir
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_classes(read_table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(read_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.0, max_epochs=3)
     return m.select("doc_id", "size", "source_size", "target", "taken")
@@ -79,6 +83,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dart_minhash": op1_dart_minhash,
     "op2_source_mix": op2_source_mix,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_toxic_segments": op4_toxic_segments,
