@@ -7,10 +7,10 @@ and a text keeps its earliest dart (least rank) for each. Two texts agree on a c
 probability of their weighted Jaccard similarity, and a text costs time in proportion to its length.
 
 Texts that agree on a band of coordinates share a bucket. In each bucket the members are compared with its
-least member; members that are still in different classes after that are compared with one another, first
-by their signatures, block against block, and the pairs that pass by their shingles themselves. Every pair
-that shares a bucket is compared with one or the other of its classes until no untested pair of different
-classes is left, so no link between classes is lost, and a large class does not become all its pairs.
+least member; members that are in different classes after that are compared with one another, block against
+block, first by their signatures and, where these are close, by their shingles themselves. So every pair that
+shares a bucket is either in one class already or tested: no link between classes is lost, and a large class
+does not become all its pairs.
 """
 
 from __future__ import annotations
@@ -35,11 +35,11 @@ ROWS, BANDS = 8, 40
 #: Unit cells that are handled at once.
 SLAB = 1 << 19
 #: Members of a bucket that are compared in one block.
-BLOCK = 1024
+BLOCK = 512
 #: Rank bits of a dart within its cell.
 BITS = 40
-#: Pairs whose signatures agree less than this far below the threshold are not looked at: 4.5 deviations at 320 coordinates.
-SLACK = 0.1
+#: Pairs whose signatures agree less than this far below the threshold are not looked at: 3.6 deviations at 320 coordinates.
+SLACK = 0.08
 REMEMBERED = 400_000
 
 _WORD = re.compile(r"\w+")
@@ -171,63 +171,88 @@ def signature_table(docs: DataFrame, rows: int, bands: int) -> DataFrame:
     return cut_lineage(docs.mapInPandas(sign, "id long, words binary, bands array<long>, sig binary"), "signatures")
 
 
-def pairs_within(members: DataFrame, least: float, each: int, turn: int) -> DataFrame:
-    """Candidate pairs ``a, b`` of buckets whose members are still in several classes.
+def cells_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, cells`` of the rows of ``docs(id, text)`` that ``ids(id)`` names: the unit cells of the text's
+    elements, sorted. With whole counts as weights, the weighted Jaccard similarity is that of these sets."""
+    def hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            h, owner, _ = shingles([t or "" for t in b["text"]])
+            cell, of, _ = unit_cells(*weigh(h, owner))
+            order = np.lexsort((cell, of))
+            parts = np.split(cell[order], np.cumsum(np.bincount(of, minlength=len(b)))[:-1])
+            yield pd.DataFrame({"id": b["id"], "cells": [p.tobytes() for p in parts]})
 
-    ``members(key, node, label, sig)``. Members outside the bucket's largest class (few, where a bucket is
-    large because its texts are alike) meet all members, in blocks of bounded size. For each of them the
-    ``each`` most similar members of every other class are handed on, the next ones in the next ``turn``.
+    return cut_lineage(docs.join(ids, "id", "left_semi").mapInPandas(hashed, "id long, cells binary"), "cells")
+
+
+def alike(x: bytes, y: bytes, threshold: float) -> bool:
+    """Whether the sets of unit cells have a Jaccard similarity of ``threshold`` or more."""
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
+    a = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)]))
+    common = int((a[1:] == a[:-1]).sum())
+    return common >= threshold * (len(a) - common)
+
+
+def links_within(members: DataFrame, details: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` between the classes of each bucket.
+
+    ``members(key, node, label)`` and ``details(node, bands, sig, cells)``. Members outside the bucket's largest class (few, where
+    a bucket is large because its texts are alike) meet all members of other classes, in blocks of bounded
+    size. A pair is tested only in the first bucket that it shares; for each member and class one link is
+    enough, so what comes out grows with the members and not with their pairs.
     """
     sizes = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", F.col("label").alias("main"))).alias("m"))
     main = main.select("key", F.col("m.main").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / BLOCK).cast("int").alias("nu"),
                        F.ceil(F.col("all") / BLOCK).cast("int").alias("na"))
-    m = members.join(main, "key")
+    m = members.join(main, "key").withColumn("out", F.col("label") != F.col("main")).join(details, "node")
     spot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asks = m.where("label <> main").select("key", spot("nu", 1).alias("u"), every("na").alias("c"), F.lit(0).alias("role"), "node", "label", "sig")
-    all_ = m.select("key", every("nu").alias("u"), spot("na", 2).alias("c"), F.lit(1).alias("role"), "node", "label", "sig")
+    rest = ["out", "node", "label", "bands", "sig", "cells"]
+    asks = m.where("out").select("key", spot("nu", 1).alias("u"), every("na").alias("c"), F.lit(0).alias("role"), *rest)
+    all_ = m.select("key", every("nu").alias("u"), spot("na", 2).alias("c"), F.lit(1).alias("role"), *rest)
     blocks = asks.unionByName(all_).repartition("key", "u", "c").sortWithinPartitions("key", "u", "c", "role")
 
-    def compare(g: dict[str, np.ndarray]) -> pd.DataFrame:
-        q, a = g["role"] == 0, g["role"] == 1
-        node, label, sig = g["node"], g["label"], g["sig"]
-        out = []
-        for i in np.flatnonzero(q):
-            s = agreement(sig[a], sig[i])
-            other = np.flatnonzero((s >= least) & (label[a] != label[i]))
-            if len(other):
-                o = other[np.lexsort((node[a][other], -s[other], label[a][other]))]
-                first = np.r_[True, label[a][o][1:] != label[a][o][:-1]]
-                nth = np.arange(len(o)) - np.maximum.accumulate(np.where(first, np.arange(len(o)), 0))
-                o = o[(nth >= each * turn) & (nth < each * (turn + 1))]
-                out.append(np.stack([np.minimum(node[i], node[a][o]), np.maximum(node[i], node[a][o])], axis=1))
-        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64), columns=["a", "b"])
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        q, a = g[g["role"] == 0], g[g["role"] == 1]
+        node, label, out = (a[c].to_numpy() for c in ("node", "label", "out"))
+        sig, bands = (np.stack([np.frombuffer(x, dtype=np.uint8) for x in a["sig"]]), np.stack(a["bands"].to_list()))
+        cells, links = a["cells"].to_list(), []
+        key = int(g["key"].iloc[0])
+        for own, of, s, b, c in zip(q["node"], q["label"], q["sig"], q["bands"], q["cells"]):
+            likely = agreement(sig, np.frombuffer(s, dtype=np.uint8))
+            maybe = np.flatnonzero((likely >= threshold - SLACK) & (label != of) & ~(out & (node < own)))
+            if not len(maybe):
+                continue
+            shared = bands[maybe] == b
+            maybe = maybe[b[shared.argmax(axis=1)] == key]
+            met: set[int] = set()
+            for i in maybe[np.argsort(-likely[maybe], kind="stable")]:
+                if label[i] not in met and alike(c, cells[i], threshold):
+                    met.add(label[i])
+                    links.append((own, node[i]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest: list[pd.DataFrame] = []
-        for b in batches:
-            if not len(b):
+        held: list[pd.DataFrame] = []  # the rows so far of the block at the end of the last batch
+        for batch in batches:
+            if not len(batch):
                 continue
-            edge = np.flatnonzero((b[["key", "u", "c"]].to_numpy()[1:] != b[["key", "u", "c"]].to_numpy()[:-1]).any(axis=1)) + 1
-            same = bool(rest) and tuple(rest[-1].iloc[-1][["key", "u", "c"]]) == tuple(b.iloc[0][["key", "u", "c"]])
-            cuts = [0, *edge, len(b)]
-            if not same and rest:
-                yield compare(_arrays(pd.concat(rest)))
-                rest = []
+            ids = batch[["key", "u", "c"]].to_numpy()
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), len(batch)]
+            if held and (held[-1][["key", "u", "c"]].to_numpy()[-1] != ids[0]).any():
+                yield compare(pd.concat(held))
+                held = []
             for lo, hi in zip(cuts, cuts[1:]):
-                rest.append(b.iloc[lo:hi])
-                if hi < len(b):
-                    yield compare(_arrays(pd.concat(rest)))
-                    rest = []
-        if rest:
-            yield compare(_arrays(pd.concat(rest)))
-
-    return blocks.mapInPandas(run, "a long, b long").distinct()
-
+                held.append(batch.iloc[lo:hi])
+                if hi < len(batch):
+                    yield compare(pd.concat(held) if len(held) > 1 else held[0])
+                    held = []
+        if held:
+            yield compare(pd.concat(held))
 
-def _arrays(b: pd.DataFrame) -> dict[str, np.ndarray]:
-    return {c: b[c].to_numpy() for c in ("role", "node", "label")} | {"sig": np.stack([np.frombuffer(x, dtype=np.uint8) for x in b["sig"]])}
+    return blocks.mapInPandas(run, "a long, b long")
 
 
 def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -242,34 +267,18 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: floa
                 yield b.loc[agreement(x, y) >= threshold - SLACK, ["a", "b"]]
 
     close = cut_lineage(both.select("a", "b", "sa", "sb").mapInPandas(likely, "a long, b long"), "close")
-    ids = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-
-    def hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            h, owner, _ = shingles([t or "" for t in b["text"]])
-            cell, of, _ = unit_cells(*weigh(h, owner))
-            order = np.lexsort((cell, of))
-            parts = np.split(cell[order], np.cumsum(np.bincount(of, minlength=len(b)))[:-1])
-            yield pd.DataFrame({"id": b["id"], "cells": [p.tobytes() for p in parts]})
-
-    # with whole counts as weights, the similarity is that of the sets of unit cells
-    cells = cut_lineage(docs.join(ids, "id", "left_semi").mapInPandas(hashed, "id long, cells binary"), "cells")
+    cells = cells_of(docs, close.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     full = (close.join(cells.withColumnsRenamed({"id": "a", "cells": "ca"}), "a").join(cells.withColumnsRenamed({"id": "b", "cells": "cb"}), "b"))
 
     def exact(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            good = []
-            for x, y in zip(b["ca"], b["cb"]):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both_ = np.sort(np.concatenate([x, y]))
-                common = int((both_[1:] == both_[:-1]).sum())
-                good.append(common >= threshold * (len(x) + len(y) - common))
+            good = [alike(x, y, threshold) for x, y in zip(b["ca"], b["cb"])]
             yield b.loc[np.array(good, dtype=bool), ["a", "b"]]
 
     return cut_lineage(full.select("a", "b", "ca", "cb").mapInPandas(exact, "a long, b long").distinct(), "similar")
 
 
-def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, bands: int = BANDS, each: int = 4,
+def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, bands: int = BANDS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id, kept`` for every row: classes are the connected components of near-duplicates.
 
@@ -292,21 +301,17 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, band
     stars = buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = similar(stars, named, nodes, threshold)
     labels = components(links)
-    turn = 0
-    while True:
-        of = buckets.where("n > 2 and node <> lead").select("key", "node").join(labels, "node", "left").select(
-            "key", "node", F.coalesce("label", "node").alias("label"))
-        mixed = of.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-        members = of.join(mixed, "key").join(nodes.select("node", "sig"), "node")
-        pairs = cut_lineage(pairs_within(cut_lineage(members, "members"), threshold - SLACK, each, turn), "pairs")
-        if pairs.isEmpty():
-            break
-        more = similar(pairs, named, nodes, threshold)
-        turn += 1
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
-            turn = 0  # classes have changed, and so has the order within them
+    # pairs with a bucket's least member are done; where the others are in several classes, these are compared
+    others = buckets.where("n > 2 and node <> lead").select("key", "node").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = others.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    open_ = cut_lineage(others.join(mixed, "key"), "members")
+    if not open_.isEmpty():
+        cells = cells_of(named, open_.select(F.col("node").alias("id")).distinct())
+        details = nodes.select("node", "bands", "sig").join(cells.withColumnRenamed("id", "node"), "node")
+        found = cut_lineage(links_within(open_, details, threshold), "found")
+        if not found.isEmpty():
+            labels = components(links.unionByName(found))
     classes = nodes.select("words", "node").join(labels, "node", "left").select("words", F.coalesce("label", "node").alias("class_id"))
     out = signed.select("id", "words").join(classes, "words").select(F.col("id").alias("doc_id"), "class_id")
     out = out.unionByName(d.where("id is null").select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("class_id")))
