@@ -28,7 +28,7 @@ from tessera.session import cut_lineage
 #: Lengths are rounded up to this many classes in the patterns.
 CLASSES = 128
 #: Encoded words a task remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: Characters that lower-casing and composition treat alike everywhere, and the tokenizer's units among them.
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f0-9]+")
