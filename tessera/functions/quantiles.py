@@ -9,9 +9,12 @@ bracket each requested quantile are picked out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.prefix import global_positions
+from tessera.session import cut_lineage
+
 
 def exact_quantiles(df: DataFrame, group: list[str], value: str, qs: list[float],
                     prefix: str = "q") -> DataFrame:
@@ -19,24 +22,18 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, qs: list[float]
     interpolated as ``v[lo] + (v[hi] - v[lo]) * frac`` with position ``(n-1) q``
     (same rule as Spark ``percentile`` / DuckDB ``quantile_cont`` / ``statistics.median``)."""
     v = df.select(*group, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    srt = v.orderBy(*[F.col(g).asc_nulls_first() for g in group], "_v")
-    # monotonically_increasing_id = (partition << 33) + index within the partition
-    pos = srt.withColumn("_p", F.spark_partition_id()).withColumn(
-        "_l", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    sizes = pos.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offs = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"))
-    glob = pos.join(F.broadcast(offs), "_p").select(*group, "_v", (F.col("_off") + F.col("_l")).alias("_g"))
+    # positions come from a stored table, so every branch below sees the same ones
+    glob = cut_lineage(global_positions(v, [*[F.col(g).asc_nulls_first() for g in group], F.col("_v").asc()], "_g"), "quantiles")
     bounds = glob.groupBy(*group).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("n"))
     targets = bounds.select(*group, "_start", "n", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("_q"))
     targets = targets.withColumn("_x", (F.col("n") - 1) * F.col("_q")).select(
         *group, "n", "_q", (F.col("_start") + F.floor("_x")).alias("_lo"),
         (F.col("_start") + F.ceil("_x")).alias("_hi"), (F.col("_x") - F.floor("_x")).alias("_f"))
-    picks = targets.select(*group, "_q", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_g"))
-    vals = glob.join(picks, [*group, "_g"])
-    t = targets.alias("t")
-    lo = vals.select(*group, "_q", F.col("_g").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = vals.select(*group, "_q", F.col("_g").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = (t.join(lo, [*group, "_q", "_lo"]).join(hi, [*group, "_q", "_hi"])
+    # a global position belongs to one row, whatever its group, so null groups need no key of their own
+    at = glob.select("_g", "_v")
+    lo = at.select(F.col("_g").alias("_lo"), F.col("_v").alias("_vlo"))
+    hi = at.select(F.col("_g").alias("_hi"), F.col("_v").alias("_vhi"))
+    res = (targets.join(lo, "_lo").join(hi, "_hi")
            .select(*group, "n", "_q", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_f")).alias("_val")))
     out = res.groupBy(*group, "n").pivot("_q", [float(q) for q in qs]).agg(F.first("_val"))
     return out.select(*group, "n", *[F.col(f"`{float(q)}`").alias(f"{prefix}{int(round(q * 100))}") for q in qs])

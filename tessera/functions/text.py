@@ -77,9 +77,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def override(base: Column, over: Column) -> Column:
+    """The two maps as one; where both hold a key, ``over`` wins."""
+    return F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(over), k)), over)
+
+
 def round_double(x: Column, digits: int) -> Column:
-    """Round a double the way Python's ``round`` sees it: on the binary value
-    (``0.0001245`` is stored just below the tie and rounds down). Spark's
-    ``round`` works on the decimal string and would round it up."""
+    """Round half up on the scaled double ``x * 10^digits``. The product itself is
+    rounded to a double, so next to a tie the last digit can differ by one from
+    a rounding of the exact binary value (Python's ``round``)."""
     s = float(10 ** digits)
     return F.signum(x) * F.floor(F.abs(x) * s + 0.5) / s

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.text import override
 from tessera.operators.index import HashedEmbedder, dot
 
 # Defaults of the reference configuration.
@@ -142,7 +143,7 @@ def _frame(df: DataFrame, strategy: str, arr: Column, meta: Column | None = None
     return x.select("source_path", F.lit(strategy).alias("strategy"), F.col("chunk_idx").cast("int").alias("chunk_idx"),
                     chunk_id(F.col("source_path"), F.lit(strategy), F.col("chunk_idx")).alias("chunk_id"),
                     "page_content",
-                    F.map_concat("metadata", F.create_map(F.lit("chunk_strategy"), F.lit(strategy))).alias("metadata"))
+                    override(F.col("metadata"), F.create_map(F.lit("chunk_strategy"), F.lit(strategy))).alias("metadata"))
 
 
 def _docs(docs: DataFrame) -> DataFrame:
@@ -216,7 +217,7 @@ def chunk_markdown(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
     text = F.array_join(F.transform("ls", lambda s: s["line"]), "\n")
     hmap = F.map_filter(F.create_map(*[x for k in range(1, 5) for x in (F.lit(f"h{k}"), F.col(f"hs.h{k}"))]),
                         lambda k, v: v.isNotNull())
-    pieces = grp.select("source_path", "grp", F.map_concat("metadata", hmap).alias("metadata"),
+    pieces = grp.select("source_path", "grp", override(F.col("metadata"), hmap).alias("metadata"),
                         _split_udf("recursive", size, overlap)(text).alias("arr"))
     ex = pieces.select("source_path", "grp", "metadata", F.posexplode("arr").alias("k", "page_content"))
     wi = Window.partitionBy("source_path").orderBy("grp", "k")
@@ -224,7 +225,7 @@ def chunk_markdown(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
     return ex.select("source_path", F.lit("markdown").alias("strategy"), "chunk_idx",
                      chunk_id(F.col("source_path"), F.lit("markdown"), F.col("chunk_idx")).alias("chunk_id"),
                      "page_content",
-                     F.map_concat("metadata", F.create_map(F.lit("chunk_strategy"), F.lit("markdown"))).alias("metadata"))
+                     override(F.col("metadata"), F.create_map(F.lit("chunk_strategy"), F.lit("markdown"))).alias("metadata"))
 
 
 # HTML -> Markdown rewrite rules for pages (tags stripped, h1..h4 to '#' lines).
@@ -277,7 +278,7 @@ def chunk_semantic(docs: DataFrame, embedder=None, percentile: float = SEMANTIC_
     return g.select("source_path", F.lit("semantic").alias("strategy"), "chunk_idx",
                     chunk_id(F.col("source_path"), F.lit("semantic"), F.col("chunk_idx")).alias("chunk_id"),
                     "page_content",
-                    F.map_concat("metadata", F.create_map(F.lit("chunk_strategy"), F.lit("semantic"))).alias("metadata"))
+                    override(F.col("metadata"), F.create_map(F.lit("chunk_strategy"), F.lit("semantic"))).alias("metadata"))
 
 
 # --------------------------------------------------------------------------- K6-K11

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.prefix import global_positions
 from tessera.functions.text import tokens
 from tessera.session import fits
 
@@ -177,7 +178,7 @@ def difficulty_quota(n: Column) -> Column:
     f4 = F.greatest(F.lit(1), F.bround(n * 0.3).cast("int"))
     h4 = F.greatest(F.lit(1), F.bround(n * 0.4).cast("int"))
     c4 = F.greatest(F.lit(0), n - f4 - h4)
-    return (F.when(n == 1, F.struct(F.lit(1).alias("factual"), F.lit(0).alias("howto"), F.lit(0).alias("compare")))
+    return (F.when(n == 1, F.struct(F.lit(0).alias("factual"), F.lit(1).alias("howto"), F.lit(0).alias("compare")))
             .when(n == 2, F.struct(F.lit(1).alias("factual"), F.lit(1).alias("howto"), F.lit(0).alias("compare")))
             .when(n == 3, F.struct(F.lit(1).alias("factual"), F.lit(1).alias("howto"), F.lit(1).alias("compare")))
             .otherwise(F.struct(f4.alias("factual"), h4.alias("howto"), c4.cast("int").alias("compare"))))
@@ -189,18 +190,9 @@ def sequential_ids(df: DataFrame, order: list[Column], prefix: str = "qa_", widt
     A global row number is computed as partition offsets + a local index, so no
     single task sorts the whole table.
     """
-    ordered = df.orderBy(*order)
-    idx = ordered.withColumn("_p", F.spark_partition_id()).withColumn(
-        "_i", F.monotonically_increasing_id())
-    w = Window.partitionBy("_p").orderBy("_i")
-    local = idx.withColumn("_l", F.row_number().over(w))
-    sizes = local.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    offs = sizes.withColumn("_off", F.sum("_n").over(Window.orderBy("_p").rowsBetween(
-        Window.unboundedPreceding, -1))).select("_p", F.coalesce("_off", F.lit(0)).alias("_off"))
-    num = local.join(F.broadcast(offs), "_p").withColumn("seq_no", F.col("_off") + F.col("_l"))
+    num = global_positions(df, order, "_pos").withColumn("seq_no", F.col("_pos") + 1).drop("_pos")
     s = num["seq_no"].cast("string")
-    return num.drop("_p", "_i", "_l", "_off").withColumn(
-        "id", F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)))
+    return num.withColumn("id", F.concat(F.lit(prefix), F.when(F.length(s) < width, F.lpad(s, width, "0")).otherwise(s)))
 
 
 def share_of_total(counts: DataFrame, count_col: str = "n") -> DataFrame:

@@ -57,39 +57,36 @@ def query_terms(queries: DataFrame, text_col: str = "question") -> DataFrame:
 
 
 def _join_postings(qt: DataFrame, idx: Bm25Index, small: bool,
-                   rows_per_task: int, max_hot_terms: int) -> DataFrame:
+                   rows_per_task: int) -> DataFrame:
     """query terms ⋈ postings on term, skew-safe.
 
     Bounded query side: broadcast it; the postings stream through without a
     shuffle, so hot terms cost nothing extra. Otherwise: an equi-join on
     (term, salt) where only hot terms are salted -- their postings are spread
     over ``ceil(df / rows_per_task)`` salts and the (small) query rows for those
-    terms are replicated once per salt. The hot-term list is bounded by
-    construction: at most ``max_hot_terms`` terms can exceed the threshold.
+    terms are replicated once per salt. There are at most
+    ``postings / rows_per_task`` hot terms; the join is left to the planner.
     """
     if small:
         return idx.postings.join(F.broadcast(qt), "term")
-    total = idx.postings.select(F.count(F.lit(1))).scalar()
-    threshold = F.greatest(F.lit(rows_per_task).cast("double"), total / max_hot_terms)
-    hot = (idx.terms.where(F.col("df") > threshold)
+    hot = (idx.terms.where(F.col("df") > rows_per_task)
            .select("term", F.ceil(F.col("df") / rows_per_task).cast("int").alias("n_salt")))
     n_salt = F.coalesce(F.col("n_salt"), F.lit(1))
-    post = (idx.postings.join(F.broadcast(hot), "term", "left")
+    post = (idx.postings.join(hot, "term", "left")
             .withColumn("salt", F.pmod(F.xxhash64("chunk_id"), n_salt)).drop("n_salt"))
-    q = (qt.join(F.broadcast(hot), "term", "left")
+    q = (qt.join(hot, "term", "left")
          .withColumn("salt", F.explode(F.sequence(F.lit(0), n_salt - 1))).drop("n_salt"))
     return post.join(q, ["term", "salt"]).drop("salt")
 
 
 def bm25_scores(queries: DataFrame, idx: Bm25Index, text_col: str = "question",
-                broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = 4_000_000,
-                max_hot_terms: int = 100_000) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS, rows_per_task: int = 4_000_000) -> DataFrame:
     """All non-zero BM25 scores ``(query_id, chunk_id, score)``."""
     qt = query_terms(queries, text_col)
     # size check on the query side alone (reads only the questions)
     small = fits(qt, broadcast_rows)
     qt = qt.join(idx.terms.select("term", "idf"), "term")
-    cand = _join_postings(qt, idx, small, rows_per_task, max_hot_terms)
+    cand = _join_postings(qt, idx, small, rows_per_task)
     contrib = F.col("idf") * F.col("qtf") * bm25_term_weight(idx)
     return (cand.groupBy("query_id", "chunk_id").agg(F.sum(contrib).alias("score"))
             .where(F.col("score") != 0))

@@ -15,7 +15,7 @@ from tessera.streaming import threads as X
 def q_thread_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations appended to the thread log; per-thread state read back."""
     base = X.scratch(spark, "threads")
-    src = X.file_stream(spark, sf, X.MESSAGE_SCHEMA, glob="conversations.parquet")
+    src = X.file_stream(spark, f"{sf}/conversations.parquet", X.MESSAGE_SCHEMA)
     X.append_log(X.message_rows(src), os.path.join(base, "log"), os.path.join(base, "ckpt"))
     st = X.thread_state(spark, os.path.join(base, "log"))
     return st.select(F.col("thread_id").cast("bigint").alias("thread_id"),
@@ -29,13 +29,12 @@ FROM conversations GROUP BY conv_id"""
 
 
 def q_event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Events projected to tool_call / tool_result / error rows, replays
-    dropped within the watermark, one summary per run."""
+    """Events projected to tool_call / tool_result / error rows and appended to
+    a log, however late they come; one summary per run from the log, replays collapsed."""
     base = X.scratch(spark, "events")
-    src = (X.file_stream(spark, sf, X.EVENT_SCHEMA, glob="events.parquet")
-           .withWatermark("ts", "1 day").dropDuplicatesWithinWatermark(["event_id"]))
-    X.write_complete(X.run_summaries(X.event_projection(src)), os.path.join(base, "out"), os.path.join(base, "ckpt"))
-    r = spark.read.parquet(os.path.join(base, "out"))
+    src = X.file_stream(spark, f"{sf}/events.parquet", X.EVENT_SCHEMA)
+    X.append_log(X.event_projection(src), os.path.join(base, "log"), os.path.join(base, "ckpt"))
+    r = X.run_summaries(spark.read.parquet(os.path.join(base, "log")).dropDuplicates(["event_id", "type"]))
     return r.select(F.col("run_id").cast("bigint").alias("run_id"), F.col("n_tool_calls").cast("bigint").alias("n_tool_calls"),
                     F.col("n_errors").cast("bigint").alias("n_errors"), "last_type",
                     F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
@@ -57,9 +56,9 @@ FROM rows GROUP BY run_id"""
 def q_token_reassembly(spark: SparkSession, sf: str) -> DataFrame:
     """Assistant messages streamed as token deltas re-assemble to the message."""
     base = X.scratch(spark, "tokens")
-    src = X.file_stream(spark, sf, X.MESSAGE_SCHEMA, glob="conversations.parquet")
-    X.write_complete(X.reassemble(X.token_rows(src)), os.path.join(base, "out"), os.path.join(base, "ckpt"))
-    r = spark.read.parquet(os.path.join(base, "out"))
+    src = X.file_stream(spark, f"{sf}/conversations.parquet", X.MESSAGE_SCHEMA)
+    X.append_log(X.token_rows(src), os.path.join(base, "log"), os.path.join(base, "ckpt"))
+    r = X.reassemble(spark.read.parquet(os.path.join(base, "log")).dropDuplicates(["thread_id", "seq", "pos"]))
     return r.select(F.col("thread_id").cast("bigint").alias("thread_id"), F.col("seq").cast("bigint").alias("seq"), "text")
 
 

@@ -177,20 +177,27 @@ def _page_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return p.select(F.lit("blob").alias("type"), F.regexp_extract("url", r"^https?://([^?#]*)", 1).alias("path"))
 
 
+MANIFEST_CAP = SC.MAX_PAGES
 MANIFEST_ARGS = dict(root="", suffixes=(".html",), include=("www.", "blog."), exclude=("spam",))
 
 
 def q_manifest_select(spark: SparkSession, sf: str) -> DataFrame:
-    sel = SC.page_cap(SC.select_manifest(_page_manifest(spark, sf), **MANIFEST_ARGS), SC.MAX_PAGES)
-    return sel.select("path", "rel_path")
+    return SC.select_manifest(_page_manifest(spark, sf), **MANIFEST_ARGS).select("path", "rel_path")
+
+
+def q_manifest_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """The first pages of the selection by path; the cap is the operator's parameter."""
+    sel = SC.select_manifest(_page_manifest(spark, sf), **MANIFEST_ARGS)
+    return SC.page_cap(sel, MANIFEST_CAP).select("path", "rel_path")
 
 
 SQL_MANIFEST_SELECT = f"""
 WITH m AS (SELECT regexp_extract(url, '^https?://([^?#]*)', 1) AS path FROM pages)
 SELECT path, path AS rel_path FROM m
 WHERE regexp_matches(path, '(?i)(\\.html)$') AND (starts_with(path, 'www.') OR starts_with(path, 'blog.'))
-  AND NOT contains(path, 'spam')
-ORDER BY path LIMIT {SC.MAX_PAGES}"""
+  AND NOT contains(path, 'spam')"""
+
+SQL_MANIFEST_CAP = f"{SQL_MANIFEST_SELECT} ORDER BY path LIMIT {MANIFEST_CAP}"
 
 
 def q_fetch_plan(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,6 +277,9 @@ def q_quota_check(spark: SparkSession, sf: str) -> DataFrame:
     qs, docs = questions(spark, sf), doc_corpus(spark, sf)
     truth = V.containment_truth(qs, docs)
     per = truth.groupBy("source_path").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    # the files' own counts, and every count from 1 to 15 so that each branch is reached
+    counts = spark.range(1, 16).select(F.concat(F.lit("quota/"), F.col("id").cast("string")).alias("source_path"), F.col("id").alias("n"))
+    per = per.select("source_path", F.col("n").cast("bigint").alias("n")).unionByName(counts)
     q = per.select("source_path", F.col("n").cast("bigint").alias("n"), V.difficulty_quota(F.col("n")).alias("q"))
     return q.select("source_path", "n", F.col("q.factual").cast("bigint").alias("factual"),
                     F.col("q.howto").cast("bigint").alias("howto"), F.col("q.compare").cast("bigint").alias("compare"))
@@ -278,10 +288,11 @@ def q_quota_check(spark: SparkSession, sf: str) -> DataFrame:
 SQL_QUOTA_CHECK = """
 WITH t AS (SELECT d.source || '/' || CAST(d.doc_id AS VARCHAR) AS source_path
            FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
-per AS (SELECT source_path, count(*) AS n FROM t GROUP BY source_path),
+per AS (SELECT source_path, count(*) AS n FROM t GROUP BY source_path
+        UNION ALL SELECT 'quota/' || i::VARCHAR, i FROM range(1, 16) r(i)),
 q AS (SELECT source_path, n,
-        CASE WHEN n <= 3 THEN 1 ELSE greatest(1, round_even(n * 0.3::DOUBLE, 0)::BIGINT) END AS factual,
-        CASE WHEN n = 1 THEN 0 WHEN n <= 3 THEN 1 ELSE greatest(1, round_even(n * 0.4::DOUBLE, 0)::BIGINT) END AS howto
+        CASE WHEN n = 1 THEN 0 WHEN n <= 3 THEN 1 ELSE greatest(1, round_even(n * 0.3::DOUBLE, 0)::BIGINT) END AS factual,
+        CASE WHEN n <= 3 THEN 1 ELSE greatest(1, round_even(n * 0.4::DOUBLE, 0)::BIGINT) END AS howto
       FROM per)
 SELECT source_path, n::BIGINT AS n, factual::BIGINT AS factual, howto::BIGINT AS howto,
        (CASE WHEN n <= 2 THEN 0 WHEN n = 3 THEN 1 ELSE greatest(0, n - factual - howto) END)::BIGINT AS compare
@@ -319,6 +330,7 @@ QUERIES = {
     "judge_best": q_judge_best,
     "qa_ids": q_qa_ids,
     "quota_check": q_quota_check,
+    "manifest_cap": q_manifest_cap,
     "difficulty_summary": q_difficulty_summary,
 }
 
@@ -338,6 +350,7 @@ ORACLES = {
     "judge_best": SQL_JUDGE_BEST,
     "qa_ids": SQL_QA_IDS,
     "quota_check": SQL_QUOTA_CHECK,
+    "manifest_cap": SQL_MANIFEST_CAP,
     "difficulty_summary": SQL_DIFFICULTY_SUMMARY,
 }
 

@@ -56,6 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         spark.sparkContext.setCheckpointDir(conf_dir)
         return spark.sparkContext.getCheckpointDir() or conf_dir
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

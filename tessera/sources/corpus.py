@@ -14,7 +14,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.text import let
+from tessera.functions.text import let, override
 
 # Document suffixes and the default selection rules.
 DOC_SUFFIXES = (".md", ".mdx")
@@ -134,7 +134,10 @@ def _meta(lines: Column) -> Column:
 
     entries = F.transform(F.sequence(F.lit(1), F.greatest(nk, F.lit(1))), entry)
     entries = F.filter(entries, lambda e: e["value"].isNotNull() & (nk > 0))
-    return F.map_from_entries(entries)
+    # a key that is given again takes its last value
+    last = let(entries, lambda es: F.filter(es, lambda e, i: ~F.exists(
+        F.slice(es, i + 2, F.size(es)), lambda later: later["key"] == e["key"])))
+    return F.map_from_entries(last)
 
 
 def _parse_block(fm: Column) -> Column:
@@ -148,8 +151,8 @@ def _parse_block(fm: Column) -> Column:
 def load_documents(files: DataFrame) -> DataFrame:
     """S4 -> S5/S6: A1 Document rows (``source_path, file_name, page_content, metadata``)."""
     fm = files.select("source_path", "file_name", split_frontmatter(F.col("text")).alias("fm"))
-    meta = F.map_concat(F.col("fm.metadata"),
-                        F.create_map(F.lit("source_path"), F.col("source_path"), F.lit("file_name"), F.col("file_name")))
+    meta = override(F.col("fm.metadata"),
+                    F.create_map(F.lit("source_path"), F.col("source_path"), F.lit("file_name"), F.col("file_name")))
     return fm.select("source_path", "file_name", F.col("fm.body").alias("page_content"), meta.alias("metadata"))
 
 

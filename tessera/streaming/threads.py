@@ -6,8 +6,9 @@
   ``(thread_id, seq)``; duplicates from replays collapse there, so no unbounded
   streaming dedupe state is kept.
 * X2/X3/X5 event projection: stateless select into one tagged-union schema.
-* X4 run summaries / X6 token re-assembly: streaming aggregations written
-  with ``foreachBatch`` (complete result per batch, idempotent overwrite).
+* X4 run summaries / X6 token re-assembly: aggregations over such logs, keyed so
+  that replays collapse. The streams themselves keep no state, and a row that
+  comes late counts like any other.
 
 Checkpoints and sinks live under the session's ``spark.checkpoint.dir``.
 """
@@ -39,14 +40,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tessera-stream", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def file_stream(spark: SparkSession, directory: str, schema: T.StructType, glob: str | None = None,
-                max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """A Parquet table as a file stream, be it a folder of part files or a single file.
+
+    A stream's source must be a folder or a glob, so the last character of the path
+    is written as a class of one character, which matches either.
+    """
     r = spark.readStream.format("parquet").schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(directory)
+    path = path.rstrip("/")
+    return r.load(f"{path[:-1]}[{path[-1]}]")
 
 
 # --------------------------------------------------------------------------- X1
@@ -112,18 +116,6 @@ def run_summaries(projected: DataFrame) -> DataFrame:
         F.max("ts").alias("last_ts"))
 
 
-def write_complete(agg: DataFrame, sink: str, checkpoint: str):
-    """Run a streaming aggregation to completion; each micro-batch overwrites
-    the sink with the complete result (idempotent on replay)."""
-    def put(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(put)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
-
-
 def token_rows(messages: DataFrame) -> DataFrame:
     """Assistant messages as token deltas: pieces that keep their trailing whitespace."""
     a = messages.where(F.col("role") == "assistant")

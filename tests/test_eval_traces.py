@@ -31,7 +31,7 @@ def test_delta_omits_missing_baseline(spark):
     assert [(r.strategy, r.method, r.delta_hit_rate) for r in out] == [("s1", "hybrid", 0.25)]
 
 
-@pytest.mark.parametrize("n,want", [(1, (1, 0, 0)), (2, (1, 1, 0)), (3, (1, 1, 1)), (4, (1, 2, 1)),
+@pytest.mark.parametrize("n,want", [(1, (0, 1, 0)), (2, (1, 1, 0)), (3, (1, 1, 1)), (4, (1, 2, 1)),
                                     (5, (2, 2, 1)), (10, (3, 4, 3)), (15, (4, 6, 5))])
 def test_difficulty_quota(spark, n, want):
     r = spark.range(1).select(V.difficulty_quota(F.lit(n)).alias("q")).first().q

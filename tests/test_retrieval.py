@@ -55,7 +55,7 @@ def test_salted_join_path_equals_broadcast_path(spark, corpus):
     d, q = corpus
     idx = bm25_index(d)
     a = sorted(bm25_topk(q, idx, 3).collect())
-    b = sorted(bm25_topk(q, idx, 3, broadcast_rows=0, rows_per_task=1, max_hot_terms=2).collect())
+    b = sorted(bm25_topk(q, idx, 3, broadcast_rows=0, rows_per_task=1).collect())
     assert a == b
 
 

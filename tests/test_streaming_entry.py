@@ -34,14 +34,15 @@ def test_thread_log_accumulates_across_restart_and_isolates_threads(spark):
 
 def test_entry_and_contract(spark):
     from __spark_entry__ import entry, oracle_sql, queries
-    from tessera.plans.catalog import NO_ORACLE
+    from tessera.plans.catalog import NO_ORACLE, QUERIES
 
     df = entry(spark)
     assert df.columns == ["query_id", "rank", "doc_id", "score"]
     assert df.count() >= 0
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == set(NO_ORACLE)
+    assert set(QUERIES) <= set(q)
+    assert set(QUERIES) - set(o) == set(NO_ORACLE)
 
 
 def test_chunk_sink_roundtrip_and_missing(spark):
