@@ -39,7 +39,7 @@ def _headers(boundary: str, fields: list[tuple[str, Column]]) -> Column:
 def _write(records: DataFrame, folder: str, boundary: str) -> None:
     """``records(record)``, each the text after the version line; every record ends with two line ends."""
     (records.select(F.concat(F.lit(f"WARC/1.1{CRLF}"), F.col("record")).alias("value")).write.mode("errorifexists")
-     .option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
+     .option("lineSep", CRLF + CRLF).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
 
 
 def _read(spark: SparkSession, folder: str, boundary: str) -> DataFrame:
@@ -106,17 +106,17 @@ def resolve_revisits(records: DataFrame, min_bytes: int = 0, salts: int = 64) ->
 
 
 def write_deduplicated(records: DataFrame, folder: str) -> str:
-    """``records`` from ``resolve_revisits`` with their ``payload``: responses in full, revisits as headers,
-    all under fresh record ids' order and dates; gives the boundary."""
+    """``records`` of ``read_archive`` with ``first_rid, first_id, first_url, first_date``, which are null
+    except for revisits: responses in full, revisits as headers, all with fresh headers; gives the boundary."""
     boundary = uuid.uuid4().hex
-    revisit = F.col("first_rid").isNotNull() & (F.col("first_rid") != F.col("rid"))
+    revisit = F.col("first_rid").isNotNull()
     only = lambda c: F.when(revisit, c)
     body = F.when(revisit, F.lit("")).otherwise(F.col("payload"))
     _write(records.select(F.concat(_headers(boundary, [
         ("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         ("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), F.col("rid"), F.lit(">"))),
         ("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")), ("WARC-Target-URI", _line(F.col("url"))),
-        ("Page-ID", F.col("id").cast("string")), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
+        ("Page-ID", F.col("id").cast("string")), ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("stated_digest"))),
         ("WARC-Profile", only(F.lit(PROFILE))), ("WARC-Refers-To", only(F.concat(F.lit("<urn:uuid:"), F.col("first_rid"), F.lit(">")))),
         ("Refers-To-Page-ID", only(F.col("first_id").cast("string"))), ("WARC-Refers-To-Target-URI", only(_line(F.col("first_url")))),
         ("WARC-Refers-To-Date", only(F.col("first_date"))),
@@ -129,14 +129,14 @@ def deduplicate_archive(spark: SparkSession, folder: str, boundary: str, out: st
     """Reads an archive, resolves its revisits and writes the deduplicated one; gives its boundary."""
     r = read_archive(spark, folder, boundary)
     body = F.col("payload").cast("binary")
-    headers = r.select("rid", "id", "url", "date", base32_sha1(body).alias("digest"), F.sha2(body, 256).alias("strong"),
+    digest = base32_sha1(body)
+    checked = F.when(digest == F.col("stated_digest"), digest).otherwise(F.raise_error(F.concat(F.lit("damaged payload of record "), F.col("rid"))))
+    headers = r.select("rid", "id", "url", "date", checked.alias("digest"), F.sha2(body, 256).alias("strong"),
                        F.octet_length("payload").cast("long").alias("bytes"))
-    resolved = cut_lineage(resolve_revisits(headers, min_bytes), "revisits")
-    # payloads meet their headers by record id, which no two records share; those of revisits stay behind
-    revisit = F.col("first_rid").isNotNull() & (F.col("first_rid") != F.col("rid"))
-    originals = resolved.where(~revisit).join(r.select("rid", "payload"), "rid")
-    repeats = resolved.where(revisit).withColumn("payload", F.lit(""))
-    return write_deduplicated(originals.unionByName(repeats), out)
+    resolved = resolve_revisits(headers, min_bytes)
+    # the table holds revisits only, so payloads need no shuffle where there are few; a record id is unique
+    revisits = cut_lineage(resolved.where("first_rid <> rid").select("rid", "first_rid", "first_id", "first_url", "first_date"), "revisits")
+    return write_deduplicated(r.join(revisits, "rid", "left"), out)
 
 
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
