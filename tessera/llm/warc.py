@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import let
 from tessera.session import checkpoint_dir, cut_lineage
 
 CRLF = "\r\n"
@@ -22,8 +23,9 @@ RECORDS_PER_FILE = 50_000
 
 def base32_sha1(payload: Column) -> Column:
     """Bare upper-case base32 SHA-1: each 40 bits of the hex digest make 8 digits of 5 bits."""
-    parts = [F.lpad(F.conv(F.substring(F.sha1(payload), 1 + 10 * i, 10), 16, 32), 8, "0") for i in range(4)]
-    return F.translate(F.upper(F.concat(*parts)), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    part = lambda h, i: F.lpad(F.conv(F.substring(h, 1 + 10 * i, 10), 16, 32), 8, "0")
+    digits = lambda h: F.upper(F.concat(*[part(h, i) for i in range(4)]))
+    return F.translate(let(F.sha1(payload), digits), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def _line(value: Column) -> Column:
@@ -129,10 +131,12 @@ def deduplicate_archive(spark: SparkSession, folder: str, boundary: str, out: st
     """Reads an archive, resolves its revisits and writes the deduplicated one; gives its boundary."""
     r = read_archive(spark, folder, boundary)
     body = F.col("payload").cast("binary")
-    digest = base32_sha1(body)
-    checked = F.when(digest == F.col("stated_digest"), digest).otherwise(F.raise_error(F.concat(F.lit("damaged payload of record "), F.col("rid"))))
-    headers = r.select("rid", "id", "url", "date", checked.alias("digest"), F.sha2(body, 256).alias("strong"),
-                       F.octet_length("payload").cast("long").alias("bytes"))
+    headers = cut_lineage(r.select("rid", "id", "url", "date", "stated_digest", base32_sha1(body).alias("digest"), F.sha2(body, 256).alias("strong"),
+                                   F.octet_length("payload").cast("long").alias("bytes")), "headers")
+    damaged = headers.where("not digest <=> stated_digest").select("rid").head(1)
+    if damaged:
+        raise ValueError(f"damaged payload of record {damaged[0].rid}")
+    headers = headers.drop("stated_digest")
     resolved = resolve_revisits(headers, min_bytes)
     # the table holds revisits only, so payloads need no shuffle where there are few; a record id is unique
     revisits = cut_lineage(resolved.where("first_rid <> rid").select("rid", "first_rid", "first_id", "first_url", "first_date"), "revisits")
