@@ -44,13 +44,13 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     """A Parquet table as a file stream, be it a folder of part files or a single file.
 
     A stream's source must be a folder or a glob, so the last character of the path
-    is written as a class of one character, which matches either.
+    is written as a class of one character, which matches either. A glob stays as it is.
     """
     r = spark.readStream.format("parquet").schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     path = path.rstrip("/")
-    return r.load(f"{path[:-1]}[{path[-1]}]")
+    return r.load(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
 
 # --------------------------------------------------------------------------- X1
