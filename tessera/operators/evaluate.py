@@ -237,7 +237,7 @@ def mix_check(obtained: DataFrame, quota: DataFrame, file_col: str = "source_fil
 
 
 def curated_subset(docs: DataFrame, curated: DataFrame, key: str = "source_path") -> tuple[DataFrame, DataFrame]:
-    """(documents in the curated list, curated names not found). The curated
-    list is a small fixed table and is broadcast."""
-    c = F.broadcast(curated.select(key).distinct())
+    """(documents in the curated list, curated names not found). A small
+    list is broadcast by Spark's own size threshold; a large one is shuffled."""
+    c = curated.select(key).distinct()
     return docs.join(c, key, "left_semi"), c.join(docs.select(key), key, "left_anti")

@@ -21,6 +21,9 @@ from tessera.operators import usage as U
 from tessera.sources.driver import EVENT_MODEL, EVENT_TOOL, messages, table, tool_events, usage_events
 
 ORDER = ["ts", "event_id"]
+# Citations of two thirds of the answers, half of them as a link; the same expression runs in Spark and in DuckDB.
+CITATION = """CASE {id} % 3 WHEN 0 THEN chr(10) || chr(10) || 'Sources:' || chr(10) || '- docs/page.md' || chr(10)
+  WHEN 1 THEN chr(10) || chr(10) || 'Sources:' || chr(10) || '- [page](docs/page.md)' || chr(10) ELSE '' END"""
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,7 +41,9 @@ def _items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf: str) -> DataFrame:
-    return A.final_answers(messages(spark, sf)).select(F.col("thread_id").alias("item_id"), "answer")
+    a = A.final_answers(messages(spark, sf))
+    cited = F.when(F.col("answer") == A.NO_ANSWER, F.col("answer")).otherwise(F.expr(f"answer || {CITATION.format(id='thread_id')}"))
+    return a.select(F.col("thread_id").alias("item_id"), cited.alias("answer"))
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,7 +81,7 @@ spec AS (SELECT * FROM (VALUES {", ".join(f"('{q}', {_sql_list(e)}, {_sql_list(f
 it AS (SELECT * FROM items JOIN spec USING (quadrant)),
 calls AS (SELECT user_id AS item_id, ts, event_id, event_type, value, {_sql_case('event_type', EVENT_TOOL)} AS tool FROM events),
 per_tool AS (SELECT item_id, tool, min({{'ts': ts, 'id': event_id}}) AS first FROM calls WHERE tool IS NOT NULL GROUP BY ALL),
-fin AS (SELECT conv_id AS item_id, arg_max(text, turn) AS answer FROM conversations
+fin AS (SELECT conv_id AS item_id, arg_max(text, turn) || {CITATION.format(id='conv_id')} AS answer FROM conversations
         WHERE role = 'assistant' AND text IS NOT NULL AND text <> '' GROUP BY conv_id),
 verdicts AS (
   SELECT it.item_id, it.quadrant,
@@ -426,3 +431,51 @@ ORACLES = {
     "error_parse": SQL_ERROR_PARSE,
     "error_signature": SQL_ERROR_SIGNATURE,
 }
+
+
+# ---------------------------------------------------------------- item_limits (A1) / tool_sequence (A2) / chat_view
+
+ITEM_LIMIT = 20
+
+
+def q_item_limits(spark: SparkSession, sf: str) -> DataFrame:
+    """A1: at most so many items of each quadrant, in input order; the cap is the operator's parameter."""
+    return A.select_items(_items(spark, sf), limit=ITEM_LIMIT, order_col="item_id").select(
+        F.col("item_id").cast("bigint").alias("item_id"), "quadrant")
+
+
+SQL_ITEM_LIMITS = "WITH " + SQL_ITEMS.strip() + f"""
+SELECT item_id::BIGINT AS item_id, quadrant FROM items
+QUALIFY row_number() OVER (PARTITION BY quadrant ORDER BY item_id) <= {ITEM_LIMIT}"""
+
+
+def q_tool_sequence(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: the tools of each run (a user's day) in call order."""
+    call = F.when(F.col("tool").isNotNull(), F.array(F.struct(F.col("tool").alias("name"))))
+    m = tool_events(spark, sf).select(
+        F.concat_ws(":", F.col("item_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("thread_id"),
+        F.struct(*ORDER).alias("seq"), F.lit("assistant").alias("role"), call.alias("tool_calls"))
+    return A.tool_sequence(m).select("thread_id", F.array_join("called_tools", ",").alias("called_tools"))
+
+
+SQL_TOOL_SEQUENCE = "WITH " + SQL_ITEMS.strip() + """
+SELECT CAST(item_id AS VARCHAR) || ':' || strftime(ts, '%Y-%m-%d') AS thread_id,
+       string_agg(tool, ',' ORDER BY ts, event_id) AS called_tools
+FROM calls WHERE tool IS NOT NULL GROUP BY ALL"""
+
+CHAT_TO_ROLE = {chat: role for role, chat in A.ROLE_TO_CHAT.items()}
+
+
+def q_chat_view(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages that a chat view shows, with role names mapped to the stored ones and back."""
+    d = A.display_rows(messages(spark, sf)).withColumn("stored_role", A.map_roles(F.col("role"), CHAT_TO_ROLE))
+    return d.select(F.col("thread_id").cast("bigint").alias("thread_id"), F.col("seq").cast("bigint").alias("seq"),
+                    "stored_role", A.map_roles(F.col("stored_role")).alias("role"), "content")
+
+
+SQL_CHAT_VIEW = f"""
+SELECT conv_id::BIGINT AS thread_id, turn::BIGINT AS seq, {_sql_case('role', CHAT_TO_ROLE, 'role')} AS stored_role, role, text AS content
+FROM conversations WHERE role = 'user' OR (role = 'assistant' AND coalesce(text, '') <> '')"""
+
+QUERIES |= {"item_limits": q_item_limits, "tool_sequence": q_tool_sequence, "chat_view": q_chat_view}
+ORACLES |= {"item_limits": SQL_ITEM_LIMITS, "tool_sequence": SQL_TOOL_SEQUENCE, "chat_view": SQL_CHAT_VIEW}
