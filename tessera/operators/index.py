@@ -182,27 +182,29 @@ def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "t
     ``epsilon * mean(idf over all terms)``. Passages without tokens still count
     in N and in the average length.
 
-    One pass over the text: each passage is split once; its first piece is
-    kept as a marker row so that N and the average length come from the same
-    grouped table as the postings. With ``materialize`` the grouped table and
-    the term table are written once to the shared checkpoint folder (the index
-    build), so the query side, the df join and the mean-idf subquery read files
-    instead of re-tokenising the corpus.
+    One pass over the text: passages are dealt out by id, each is split once and
+    its terms are counted where it lies; its first piece is kept as a marker row
+    so that N and the average length come from the same grouped table as the
+    postings. With ``materialize`` the postings are written once, in buckets of
+    the passage id, so that scores add up without a shuffle; the term table is
+    written too, and the mean-idf subquery reads it.
     """
-    from tessera.session import cut_lineage
+    from tessera.session import cut_by_key, cut_lineage, key_buckets
 
-    toks = passages.select(F.col(id_col).alias("chunk_id"),
+    spread = passages.select(F.col(id_col), F.col(text_col)).repartition(key_buckets(passages.sparkSession), id_col)
+    toks = spread.select(F.col(id_col).alias("chunk_id"),
                            F.split(F.coalesce(F.col(text_col), F.lit("")), WS).alias("toks"))
     lead = (F.element_at("toks", 1) == "").cast("int")
     trail = ((F.size("toks") > 1) & (F.element_at("toks", -1) == "")).cast("int")
-    rows = (toks.select("chunk_id", (F.size("toks") - lead - trail).alias("dl"),
-                        F.posexplode("toks").alias("pos", "term"))
+    # the outer form: a split is never empty, and the filter that Spark infers for the inner one would split again
+    rows = (toks.withColumn("dl", F.size("toks") - lead - trail)
+            .select("chunk_id", "dl", F.posexplode_outer("toks").alias("pos", "term"))
             .where((F.col("term") != "") | (F.col("pos") == 0)))
-    # map-side partial aggregation: the shuffle carries postings, not raw tokens
+    # a passage is one row, so all its terms are in one task already
     grouped = rows.groupBy("term", "chunk_id", "dl").agg(
         F.count_if(F.col("term") != "").alias("tf"), F.max(F.col("pos") == 0).alias("first"))
     if materialize:
-        grouped = cut_lineage(grouped)
+        grouped = cut_by_key(grouped, "chunk_id", "postings")
     docs = grouped.where("first")
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     avgdl = docs.select(F.avg("dl")).scalar()

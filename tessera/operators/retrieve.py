@@ -8,6 +8,9 @@ never carried through a ranking shuffle: it is joined back only for the final
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +26,8 @@ from tessera.session import cut_lineage, fits
 RANK_DIGITS = 9
 # Largest query-side table broadcast to the scan side (rows; size-checked).
 BROADCAST_ROWS = 2_000_000
+# Bytes of scores that a task computes at once.
+TILE_BYTES = 64 << 20
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[Column], k: int,
@@ -47,6 +52,18 @@ def attach_text(ranked: DataFrame, passages: DataFrame, broadcast_rows: int = BR
     return passages.select("chunk_id", "text").join(r, "chunk_id")
 
 
+def keyed_lists(lists: list[DataFrame], passages: DataFrame) -> list[DataFrame]:
+    """The ranked lists with ``content_key``, the hash of the passage's text, in one pass over the passages; only
+    the texts of hits are hashed. Lists and keys are written, as fusions read them again."""
+    u = None
+    for i, r in enumerate(lists):
+        part = r.withColumn("_list", F.lit(i))
+        u = part if u is None else u.unionByName(part)
+    hits = attach_text(cut_lineage(u, "hits"), passages)
+    keyed = cut_lineage(hits.withColumn("content_key", F.xxhash64("text")).drop("text"), "keyed")
+    return [keyed.where(F.col("_list") == i).drop("_list") for i in range(len(lists))]
+
+
 # --------------------------------------------------------------------------- R3
 
 
@@ -103,38 +120,36 @@ def bm25_topk(queries: DataFrame, idx: Bm25Index, k: int = 10, text_col: str = "
 # --------------------------------------------------------------------------- R1
 
 
-def _local_topk_fn(qb, k: int, id_type):
-    """mapInPandas body: one GEMM per Arrow batch, keep per-query local top-k
-    (ties at the cut are all kept so the global cut stays exact)."""
+def _tile_topk(q_ids: np.ndarray, qm: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
+    """The k best rows for each query (all, if fewer), ties to the smaller id; scores are computed for so many
+    queries at a time that a tile stays within ``TILE_BYTES``."""
+    place = np.empty(len(ids), dtype=np.int64)
+    place[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    step = max(1, TILE_BYTES // (8 * len(ids)))
+    for at in range(0, len(q_ids), step):
+        s = v @ qm[at:at + step].T
+        r = np.round(s, RANK_DIGITS)
+        least = -np.partition(-r, k - 1, axis=0)[k - 1] if len(ids) > k else np.full(r.shape[1], -np.inf)
+        rows, cols = np.nonzero(r >= least)
+        order = np.lexsort((place[rows], -r[rows, cols], cols))
+        rows, cols = rows[order], cols[order]
+        best = np.arange(len(cols)) - np.searchsorted(cols, cols) < k
+        rows, cols = rows[best], cols[best]
+        yield pd.DataFrame({"query_id": q_ids[at + cols], "chunk_id": ids[rows], "score": s[rows, cols]})
 
-    def run(batches):
-        q_ids, qm = qb.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ids = pdf["chunk_id"].to_numpy()
-            v = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            s = v @ qm.T
-            r = np.round(s, RANK_DIGITS)
-            if len(pdf) > k:
-                kth = -np.partition(-r, k - 1, axis=0)[k - 1]
-                rows, cols = np.nonzero(r >= kth[None, :])
-            else:
-                rows, cols = np.nonzero(np.ones_like(r, dtype=bool))
-            yield pd.DataFrame({"query_id": q_ids[cols], "chunk_id": ids[rows], "score": s[rows, cols]})
 
-    return run
+def _matrix(vecs: pd.Series) -> np.ndarray:
+    return np.stack(vecs.to_numpy()).astype(np.float64)
 
 
-def dense_topk(queries: DataFrame, corpus: DataFrame, k: int = 10,
-               query_block_rows: int = 50_000) -> DataFrame:
+def dense_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
     """Exact cosine top-k. ``queries(query_id, vec)``, ``corpus(chunk_id, vec)``;
     vectors are expected L2-normalised (E2), so cosine = inner product.
 
-    Two-level top-k: the query matrix (size-checked, at most ``query_block_rows``
-    rows per block) is broadcast; each corpus Arrow batch does one GEMM and
-    emits a local top-k per query; a window keeps the global top-k. The corpus
-    is scanned once per query block and never shuffled.
+    Queries of at most ``block_bytes`` in all are broadcast, and the corpus streams past them without a shuffle.
+    More queries are cut into blocks by hash, the corpus as well, and Spark's shuffle brings each pair of blocks
+    together, so neither side passes through the driver. Either way k rows a query leave a batch or block, and
+    a window keeps the best k of all.
     """
     spark = queries.sparkSession
     out_schema = T.StructType([
@@ -142,28 +157,33 @@ def dense_topk(queries: DataFrame, corpus: DataFrame, k: int = 10,
         T.StructField("chunk_id", corpus.schema["chunk_id"].dataType),
         T.StructField("score", T.DoubleType()),
     ])
-    corpus = corpus.select("chunk_id", "vec")
-    # size check and collection in one pass: at most query_block_rows + 1 rows reach the driver
-    head = queries.select("query_id", "vec").limit(query_block_rows + 1).toPandas()
-    if len(head) <= query_block_rows:
-        blocks = [head]
+    queries, corpus = queries.select("query_id", "vec"), corpus.select("chunk_id", "vec")
+    bytes_of = F.coalesce(F.sum(8 * F.size("vec").cast("long")), F.lit(0))
+    q_bytes = queries.agg(bytes_of).first()[0]
+    if q_bytes <= block_bytes:
+        head = queries.toPandas()  # at most block_bytes of vectors
+        shared = spark.sparkContext.broadcast((head["query_id"].to_numpy(), _matrix(head["vec"]) if len(head) else None))
+
+        def stream(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            q_ids, qm = shared.value
+            for b in batches:
+                if len(b) and len(q_ids):
+                    yield from _tile_topk(q_ids, qm, b["chunk_id"].to_numpy(), _matrix(b["vec"]), k)
+
+        cand = corpus.mapInPandas(stream, out_schema)
     else:
-        n = queries.count()
-        nb = -(-n // query_block_rows)
-        keyed = queries.select("query_id", "vec").withColumn("_blk", F.pmod(F.xxhash64("query_id"), F.lit(nb)))
-        blocks = (keyed.where(F.col("_blk") == i).drop("_blk").toPandas() for i in range(nb))
-    parts = []
-    for pdf in blocks:
-        if len(pdf) == 0:
-            continue
-        qm = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-        qb = spark.sparkContext.broadcast((pdf["query_id"].to_numpy(), qm))
-        parts.append(corpus.mapInPandas(_local_topk_fn(qb, k, None), out_schema))
-    if not parts:
-        return spark.createDataFrame([], out_schema.add("rank", T.IntegerType()))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+        nq, nc = (max(1, math.ceil(n / block_bytes)) for n in (q_bytes, corpus.agg(bytes_of).first()[0]))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        spot = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        q = queries.withColumn("qb", spot("query_id", nq)).withColumn("cb", every(nc))
+        c = corpus.withColumn("cb", spot("chunk_id", nc)).withColumn("qb", every(nq))
+
+        def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if not len(a) or not len(b):
+                return pd.DataFrame({"query_id": a["query_id"][:0], "chunk_id": b["chunk_id"][:0], "score": pd.Series(dtype=float)})
+            return pd.concat(_tile_topk(a["query_id"].to_numpy(), _matrix(a["vec"]), b["chunk_id"].to_numpy(), _matrix(b["vec"]), k))
+
+        cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(meet, out_schema)
     return rank_within(cand, ["query_id"], _score_order(), k).select("query_id", "rank", "chunk_id", "score")
 
 
@@ -279,9 +299,7 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
     # hybrid: each list k, fused list cut at k. hybrid_rerank: each list fetch_k,
     # the whole fused list (at most 2 * fetch_k keys) is re-ranked down to k.
     per_list = k if method == "hybrid" else fetch_k
-    keys = passages.select("chunk_id", F.xxhash64("text").alias("content_key"))
-    d = dense_topk(query_vecs, passage_vecs, per_list).join(keys, "chunk_id")
-    b = bm25_topk(queries, bm25, per_list).join(keys, "chunk_id")
+    d, b = keyed_lists([dense_topk(query_vecs, passage_vecs, per_list), bm25_topk(queries, bm25, per_list)], passages)
     fused = rrf_fuse([d, b], [dense_weight, 1.0 - dense_weight], k if method == "hybrid" else 2 * per_list)
     if method == "hybrid":
         return fused
@@ -289,8 +307,9 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
 
 
 def with_sources(ranked: DataFrame, passages: DataFrame) -> DataFrame:
-    """Attach ``source_path`` to a ranked list (final k rows only)."""
-    return ranked.join(passages.select("chunk_id", "source_path"), "chunk_id")
+    """Attach ``source_path`` to a ranked list (final k rows only), which is broadcast where it fits."""
+    r = cut_lineage(ranked, "ranked")
+    return (F.broadcast(r) if fits(r, BROADCAST_ROWS) else r).join(passages.select("chunk_id", "source_path"), "chunk_id")
 
 
 def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k: int = 10, fetch_k: int = 20,
@@ -306,14 +325,14 @@ def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k
             raise ValueError(f"unknown retrieval method: {m!r}")
     depth = max(k, fetch_k)
     emb = embedder or HashedEmbedder()
-    keys = passages.select("chunk_id", F.xxhash64("text").alias("content_key"))
     lists = {}
     if set(methods) & {"dense", "hybrid", "hybrid_rerank"}:
         pv = cut_lineage(emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
         qv = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
-        lists["dense"] = cut_lineage(dense_topk(qv, pv, depth).join(keys, "chunk_id"), "dense_list")
+        lists["dense"] = dense_topk(qv, pv, depth)
     if set(methods) & {"bm25", "hybrid", "hybrid_rerank"}:
-        lists["bm25"] = cut_lineage(bm25_topk(queries, bm25_index(passages), depth).join(keys, "chunk_id"), "bm25_list")
+        lists["bm25"] = bm25_topk(queries, bm25_index(passages), depth)
+    lists = dict(zip(lists, keyed_lists(list(lists.values()), passages)))
     out = {}
     cut = lambda df, n: df.where(F.col("rank") <= n)
     for m in methods:

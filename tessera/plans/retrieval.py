@@ -115,9 +115,9 @@ def _ranked_all(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Dat
     per = retrieve_many(qs, passages, [c["method"] for c in COMBOS], k=max(KS), fetch_k=FETCH_K)
     ranked = None
     for c in COMBOS:
-        r = with_sources(per[c["method"]], passages).select(*[F.lit(c[k]).alias(k) for k in KEYS], "query_id",
-                                                             "rank", "chunk_id", "source_path")
+        r = per[c["method"]].select(*[F.lit(c[k]).alias(k) for k in KEYS], "query_id", "rank", "chunk_id")
         ranked = r if ranked is None else ranked.unionByName(r)
+    ranked = with_sources(ranked, passages)
     docs = doc_corpus(spark, sf)
     truth = containment_truth(qs, docs)
     qa = qa_table(qs, truth, docs)

@@ -76,6 +76,26 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def cut_by_key(df: DataFrame, key: str, name: str = "table") -> DataFrame:
+    """:func:`cut_lineage` for a table that is grouped by ``key`` afterwards: it is stored in buckets of ``key``, so
+    such groupings need no shuffle. ``df`` should come from ``repartition(key_buckets(spark), key)``, which makes one
+    file a bucket. Buckets are read through a catalogue entry, which is dropped once the plan holds the files."""
+    import uuid
+
+    spark = df.sparkSession
+    table = f"tessera_{name}_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-tables/{table}"
+    df.write.format("parquet").bucketBy(key_buckets(spark), key).option("path", path).saveAsTable(table)
+    stored = spark.table(table)
+    stored.schema  # resolved before the entry goes; the files of an external table stay
+    spark.sql(f"DROP TABLE {table}")
+    return stored
+
+
+def key_buckets(spark: SparkSession) -> int:
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -17,6 +17,8 @@ def test_bm25_topk_plan(spark):
     plan = _plan(bm25_topk(q, bm25_index(p), 10))
     assert "WindowGroupLimit" in plan            # top-k cut before the shuffle
     assert "BroadcastHashJoin" in plan           # query terms broadcast, postings stream
+    assert "Bucketed: true" in plan              # scores add up where a passage's postings lie
+    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(query_id" in line and "chunk_id" in line]
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 

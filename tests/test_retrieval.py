@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.index import bm25_index
-from tessera.operators.retrieve import bm25_scores, bm25_topk, rerank, rrf_fuse
+from tessera.operators.retrieve import bm25_scores, bm25_topk, dense_topk, keyed_lists, rerank, rrf_fuse
 
 
 @pytest.fixture()
@@ -79,3 +79,39 @@ def test_rerank_only_reorders_fetched(spark):
                                "chunk_id long, text string")
     out = rerank(cand, qs, ps, top_n=5).orderBy("rank").collect()
     assert [r.chunk_id for r in out] == [20, 10]  # 30 was never fetched
+
+
+def _brute_topk(q, c, k):
+    out = []
+    for qid, x in q:
+        s = sorted(((-round(sum(a * b for a, b in zip(x, y)), 9), cid) for cid, y in c))[:k]
+        out += [(qid, rank, cid) for rank, (_, cid) in enumerate(s, 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 64])
+def test_dense_topk_with_zero_vectors_and_duplicates(spark, block_bytes):
+    """Broadcast and blocked route: exactly k rows a query, ties to the smaller id."""
+    c = [(i, [1.0, 0.0] if i % 3 else [0.0, 0.0]) for i in range(40)] + [(50, [0.6, 0.8]), (51, [0.6, 0.8])]
+    q = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.6, 0.8]), (4, [0.0, 1.0]), (5, [0.6, 0.8])]
+    got = dense_topk(spark.createDataFrame(q, "query_id long, vec array<double>"),
+                     spark.createDataFrame(c, "chunk_id long, vec array<double>").repartition(3), 5, block_bytes=block_bytes)
+    assert sorted((r.query_id, r["rank"], r.chunk_id) for r in got.collect()) == _brute_topk(q, c, 5)
+
+
+def test_dense_topk_of_empty_sides(spark):
+    q = spark.createDataFrame([(1, [1.0])], "query_id long, vec array<double>")
+    c = spark.createDataFrame([], "chunk_id long, vec array<double>")
+    for block_bytes in (1 << 20, 4):
+        assert dense_topk(q, c, 3, block_bytes).count() == 0
+        assert dense_topk(q.where("false"), q.withColumnRenamed("query_id", "chunk_id"), 3, block_bytes).count() == 0
+
+
+def test_content_keys_are_those_of_the_texts(spark, corpus):
+    d, _ = corpus
+    a = spark.createDataFrame([(7, 1, 1, 0.5), (7, 2, 3, 0.4)], "query_id long, rank int, chunk_id long, score double")
+    b = a.where("rank = 2")
+    one, two = keyed_lists([a, b], d)
+    want = {r.chunk_id: r.h for r in d.select("chunk_id", F.xxhash64("text").alias("h")).collect()}
+    assert {(r.chunk_id, r.content_key) for r in one.collect()} == {(i, want[i]) for i in (1, 3)}
+    assert [(r.chunk_id, r.content_key) for r in two.collect()] == [(3, want[3])]
