@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,11 +236,11 @@ def content_fingerprint(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def write_index(chunks: DataFrame, path: str, strategy: str, model: str, reset: bool = False,
-                strong_check: bool = False) -> int:
+                strong_check: bool = True) -> int:
     """E5: idempotent build of one ``strategy=/model=`` partition.
 
     Skips the write when the stored partition already has the same row count
-    (and, with ``strong_check``, the same content fingerprint) and no reset was
+    and (unless ``strong_check`` is off) the same content fingerprint and no reset was
     asked for; otherwise overwrites only that partition (dynamic overwrite).
     Returns the final row count.
     """
@@ -255,8 +256,9 @@ def write_index(chunks: DataFrame, path: str, strategy: str, model: str, reset:
             same = have["n"] == want["n"] and (not strong_check or have["h"] == want["h"])
             if have["n"] > 0 and same:
                 return int(have["n"])
-        except Exception:  # noqa: BLE001 - no stored index yet
-            pass
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # no stored index yet
+                raise
     (chunks.withColumn("strategy", F.lit(strategy)).withColumn("model", F.lit(slug))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("strategy", "model").parquet(path))
@@ -268,7 +270,9 @@ def open_index(spark, path: str, strategy: str, model: str) -> DataFrame:
     slug = spark.range(1).select(model_slug(F.lit(model)).alias("s")).first()["s"]
     try:
         df = spark.read.parquet(path).where((F.col("strategy") == strategy) & (F.col("model") == slug))
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise ValueError(f"index not found: {path}") from e
     if df.limit(1).count() == 0:
         raise ValueError(f"index {strategy}/{slug} is empty or missing; build it first")

@@ -61,17 +61,23 @@ def fetch_plan(manifest: DataFrame, stored: DataFrame, key: str = "path") -> Dat
 
 def scan_corpus(spark: SparkSession, root: str, suffixes=DOC_SUFFIXES) -> DataFrame:
     """One row per file under ``root`` (recursive) with a doc suffix;
-    ``source_path`` relative to root, ``file_name``. A missing root raises."""
+    ``source_path`` relative to root, ``file_name``. A missing root raises.
+
+    File paths come URL-encoded from the scan; they are decoded, and ``root`` (a local path or a URI with its
+    scheme and authority) is cut off by its length."""
     local = root[len("file:"):] if root.startswith("file:") else root
-    if "://" not in root and not os.path.exists(local):
+    local = "/" + local.lstrip("/") if root.startswith("file:") else local
+    remote = "://" in root and not root.startswith("file:")
+    if not remote and not os.path.exists(local):
         raise FileNotFoundError(f"doc root does not exist: {root}")
-    df = (spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").text(root)
-          .select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file_path")))
+    base = (root if remote else os.path.abspath(local)).rstrip("/") + "/"
+    df = (spark.read.option("recursiveFileLookup", "true").text(base, wholetext=True)
+          .select(F.col("value").alias("text"), F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")))
+    if not remote:
+        df = df.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
     suffix_re = "(?i)(" + "|".join(s.replace(".", "\\.") for s in suffixes) + ")$"
-    base = os.path.abspath(local).rstrip("/") + "/"
-    rel = F.regexp_replace(F.regexp_replace("file_path", "^file:", ""), "^" + base.replace(".", "\\."), "")
-    return (df.where(F.col("file_path").rlike(suffix_re))
-            .select(rel.alias("source_path"), F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "text"))
+    return (df.where(F.col("path").rlike(suffix_re))
+            .select(F.substring("path", len(base) + 1, 1 << 30).alias("source_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"), "text"))
 
 
 # --------------------------------------------------------------------------- S5 / S6

@@ -6,8 +6,9 @@ Schemas are always explicit (never inferred). Row counts of a write come from
 
 from __future__ import annotations
 
-import os
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,16 @@ USAGE_LOG_SCHEMA = T.StructType([
     T.StructField("cost_usd", T.DoubleType()), T.StructField("cost_krw", T.DoubleType())])
 
 
+def _found(read: Callable[[], DataFrame], missing: str) -> DataFrame:
+    """What ``read`` opens; a path that its store does not hold raises FileNotFoundError."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(missing) from e
+
+
 def write_chunks(chunks: DataFrame, path: str, fmt: str = "json") -> int:
     """One partition folder per strategy; JSON lines keep non-ASCII text as is.
     Returns the number of rows written."""
@@ -39,16 +50,12 @@ def write_chunks(chunks: DataFrame, path: str, fmt: str = "json") -> int:
 
 def read_chunks(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Chunk table with its declared schema; a missing path raises."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"chunk file not found: {path}")
-    return spark.read.schema(CHUNK_SCHEMA).format(fmt).load(path)
+    return _found(lambda: spark.read.schema(CHUNK_SCHEMA).format(fmt).load(path), f"chunk file not found: {path}")
 
 
 def read_qa(spark: SparkSession, path: str) -> DataFrame:
     """QA JSON lines (blank lines skipped by the reader); missing or empty raises."""
-    if "://" not in path and not os.path.exists(path):
-        raise FileNotFoundError(f"QA dataset not found: {path}")
-    df = spark.read.schema(QA_SCHEMA).json(path).where(F.col("id").isNotNull() | F.col("question").isNotNull())
+    df = _found(lambda: spark.read.schema(QA_SCHEMA).json(path), f"QA dataset not found: {path}").where(F.col("id").isNotNull() | F.col("question").isNotNull())
     if df.limit(1).count() == 0:
         raise ValueError(f"QA dataset empty: {path}")
     return df
