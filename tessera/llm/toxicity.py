@@ -131,14 +131,21 @@ def count_words(train: DataFrame) -> DataFrame:
 
 
 def log_odds(table: pd.DataFrame, toxic: np.ndarray, clean: np.ndarray, n1: int, n0: int, prior: float, least_z: float) -> dict[str, float]:
-    """Log-odds of each word under a Dirichlet prior of ``prior`` documents shaped like both classes together;
-    words whose z is below ``least_z`` have no evidence."""
+    """Log-odds of each word under a Dirichlet prior of ``prior`` documents shaped like both classes together, of
+    at least half a document a word, so that the odds of a rare word do not grow with the sample. Words whose z is
+    below ``least_z`` have no evidence. The z is the signed root of the deviance of the word's own counts from the
+    classes' shares, with continuity correction; the prior has no part in it, so a rare word needs as many
+    documents in a large sample as in a small one."""
     share = (toxic + clean) / max(1, n1 + n0)
-    a = prior * np.maximum(share, 1e-9)
+    a = np.maximum(prior * share, 0.5)
     rest = prior - np.minimum(a, prior) + 1e-9
     delta = np.log((toxic + a) / (n1 - toxic + rest)) - np.log((clean + a) / (n0 - clean + rest))
-    z = delta / np.sqrt(1 / (toxic + a) + 1 / (clean + a))
-    good = (z >= least_z) & (delta > 0)
+    more, fewer = toxic - 0.5, clean + 0.5
+    want1, want0 = ((toxic + clean) * n / max(1, n1 + n0) for n in (n1, n0))
+    above = (more > want1) & (want0 > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        z = np.sqrt(np.maximum(2 * (more * np.log(more / want1) + fewer * np.log(fewer / want0)), 0.0))
+    good = above & (z >= least_z) & (delta > 0)
     return dict(zip(table["word"][good], np.round(delta[good], 9).tolist()))
 
 

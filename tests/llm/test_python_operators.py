@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF001
 from hypothesis import given, settings
@@ -263,6 +264,23 @@ def test_toxic_words_are_learned_and_odd_rows_are_scored(spark):
     assert T.score(docs, T.fit(docs, lab.limit(0), F.lit(True))).count() == docs.count()
 
 
+def test_rare_toxic_words_count_at_every_sample_size(spark):
+    table = pd.DataFrame({"word": ["rare", "few", "once", "both"]})
+    toxic, clean = np.array([20.0, 4.0, 1.0, 20.0]), np.array([0.0, 0.0, 0.0, 180.0])
+    for n1, n0 in ((352, 2803), (1_000, 9_000), (4_000, 36_000), (40_000, 360_000), (2_000, 2_000)):
+        got = T.log_odds(table, toxic, clean, n1, n0, 200.0, 2.5)
+        assert "rare" in got and "once" not in got and ("both" not in got)
+        assert ("few" in got) == (n1 < n0)  # four of four are no evidence where half of the documents are toxic
+    bad = [f"bad{i}" for i in range(400)]  # each stands in four toxic documents of 4,000
+    rng = random.Random(8)
+    rows = []
+    for i in range(4_000):
+        t = [f"w{rng.randrange(300)}" for _ in range(30)]
+        rows.append((i, " ".join(t + [bad[(i // 10 * 4 + j) % 400] for j in range(4)] if i % 10 == 0 else t), "en"))
+    lab = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(4_000)], "doc_id long, toxic int")
+    assert set(bad) <= T.fit(_docs(spark, rows), lab, F.lit(True)).words.scores.keys()
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as C
 
