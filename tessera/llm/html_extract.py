@@ -40,6 +40,12 @@ AGAINST = frozenset("nav navbar navigation menu header masthead footer sidebar a
                     "toolbar disclaimer copyright complementary contentinfo form".split())
 READERS = frozenset("comment comments reply replies respond responses disqus".split())
 FOR = frozenset("article content story post entry body main text".split())
+#: ``has-sidebar`` and the like tell of the page, not of the element: a name counts up to such a word only.
+FLAGS = frozenset("has have no not with without hide hides hidden show shows".split())
+#: Last parts that leave the meaning of a name to the part before them.
+VAGUE = frozenset("wrap wrapper container inner outer box area list item items link links section block holder group buttons bar panel content text "
+                  "body posts left right top bottom primary secondary".split())
+HEADS = frozenset("header banner masthead".split())
 _NOTICE = re.compile(r"©|\(c\)\s*\d{4}|copyright|all rights reserved|cookies?\b|privacy policy|terms of (?:use|service)|subscribe|sign up|log in", re.I)
 _STOP = re.compile(r"[.!?…:;]")
 
@@ -54,26 +60,49 @@ class Block:
     depth: int
 
 
-def _own_prior(tag: str, attributes: str, inside: float) -> float:
+def _name_prior(name: str, inside: float) -> tuple[float, bool]:
+    """What one class, id or role name says, and whether it names what readers wrote. The last part that is not
+    vague decides; a name of several parts says less against its element than a whole one."""
+    parts = [p.lower() for p in _PART.findall(name)]
+    parts = parts[:next((i for i, p in enumerate(parts) if p in FLAGS), len(parts))]
+    last = len(parts) - 1
+    while last > 0 and (parts[last] in VAGUE or len(parts[last]) == 1 or parts[last].isdigit()):
+        last -= 1
+    if last < 0:
+        return 0.0, False
+    speaks = any(p in FOR for p in parts)
+    if parts[last] in READERS:
+        return -6.0, True
+    if parts[last] in AGAINST:
+        if parts[last] in HEADS and inside > 0:
+            return -0.5, False  # the head of an article holds its title
+        return (-6.0 if last == len(parts) - 1 == 0 else -2.0 if any(p in FOR for p in parts[:last]) else -4.0), False
+    return (2.0 if speaks and not any(p in AGAINST or p in READERS for p in parts) else 0.0), False
+
+
+def _own_prior(tag: str, attributes: str, inside: float) -> tuple[float, bool]:
+    """How much the element speaks for or against being content, and whether that is final: the tag's and
+    readers' verdicts against are, that of other names is a cost that elements inside can win back."""
     prior = TAG_PRIOR.get(tag, 0.0)
     if tag == "header" and inside > 0:
         prior = -0.5  # the head of an article holds its title
     if attributes and tag not in ("html", "body") and tag not in INLINE:
-        names = [p.lower() for m in _NAMED.finditer(attributes) for p in _PART.findall(m[1] or m[2] or m[3] or "")]
-        if any(n in READERS for n in names):
-            return min(prior, -6.0)
-        if prior <= 0 and any(n in AGAINST for n in names):
-            return min(prior, -6.0)
-        if prior == 0 and any(n in FOR for n in names):
-            return 2.0
-    return prior
+        said = [_name_prior(n, inside) for m in _NAMED.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").split()]
+        if any(readers for _, readers in said):
+            return min(prior, -6.0), True
+        against = min((x for x, _ in said), default=0.0)
+        if prior <= 0 and against < 0:
+            return min(prior, against), prior < -1
+        if prior == 0 and any(x > 0 for x, _ in said):
+            return 2.0, False
+    return prior, prior < -1
 
 
 def blocks_of(html: str) -> list[Block]:
     """Blocks of text in page order; markup, scripts, styles and form controls hold none."""
     out: list[Block] = []
-    # name, context, number, links around, number of the next block element outside
-    stack: list[tuple[str, float, int]] = [("", 0.0, 0)]
+    # name, context, number, whether the context is final
+    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
     parts: list[str] = []
     linked, links, number, at = 0, 0, 0, 0
 
@@ -92,7 +121,7 @@ def blocks_of(html: str) -> list[Block]:
 
     def pop_to(i: int) -> None:
         nonlocal links
-        for name, _, _ in stack[i:]:
+        for name, _, _, _ in stack[i:]:
             links -= name == "a"
         del stack[i:]
 
@@ -131,12 +160,17 @@ def blocks_of(html: str) -> list[Block]:
                 pop_to(i)  # its end tag was left out
         if name in VOID or attributes.endswith("/"):
             continue
-        around = stack[-1][1]
-        prior = _own_prior(name, attributes, around)
-        # the inner element decides against; nothing inside boilerplate speaks for content again
-        context = prior if prior < -1 else around if around < 0 else max(around, prior) if prior > 0 else around + prior
+        around, final = stack[-1][1], stack[-1][3]
+        prior, own = _own_prior(name, attributes, around)
+        # the inner element decides against; inside boilerplate by tag nothing speaks for content again, a cost by name is won back
+        if prior < -1:
+            context, final = min(around, prior), final or own
+        elif around < 0:
+            context = around if final else around + max(prior, 0.0)
+        else:
+            context = max(around, prior) if prior > 0 else around + prior
         number += 1
-        stack.append((name, context, number))
+        stack.append((name, context, number, final))
         links += name == "a"
     flush()
     return out

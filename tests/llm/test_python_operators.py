@@ -191,6 +191,25 @@ def test_main_text_leaves_boilerplate_behind(spark):
     assert H.extract(pages.limit(0)).count() == 0
 
 
+def test_names_are_a_cost_and_no_veto():
+    long = "Some plain words that make up the text of this page. " * 20
+    body = f"<h1>The title</h1><p>{long}</p><p>Short end.</p>"
+    text = f"The title\n{long.strip()}\nShort end."
+    for name in ("layout has-sidebar", "no-sidebar", "page--with-sidebar", "search-result", "hasSidebar", "sidebar-left", "content-sidebar-wrap", "search"):
+        assert H.main_text(f'<body><div class="{name}"><article>{body}</article></div></body>') == text, name
+        assert H.main_text(f'<body><div class="{name}"><main>{body}</main></div></body>').count(long.strip()) == 1, name
+    for name in ("has-sidebar", "no-sidebar", "with-sidebar", "search-result", "layout-sidebar"):
+        assert long.strip() in H.main_text(f'<body><div class="{name}"><div class="entry-content">{body}</div></div></body>'), name
+    for head in ('<header class="entry-header">', '<div class="entry-header">', '<header id="banner">'):
+        assert H.main_text(f"<article>{head}<h1>The title</h1></{head[1:7].split()[0]}><p>{long}</p></article>").startswith("The title\n"), head
+    assert H.main_text(f'<article class="post no-comments">{body}</article>') == text
+    bad = ("sidebar", "site-footer", "nav-links", "cookie-banner", "related-posts", "widget-2", "ad-container", "post-comments", "comments-area", "share-buttons")
+    for name in bad:  # what is named as boilerplate still goes
+        assert H.main_text(f'<main>{body}</main><div class="{name}"><div class="inner"><p>Some words beside the text.</p></div></div>') == text, name
+    assert H.main_text(f'<article>{body}</article><section id="comments"><article><p>Great post, I liked it a lot.</p></article></section>') == text
+    assert H.main_text(f'<main>{body}</main><footer><div class="content"><p>{long}</p></div><address>A street.</address></footer>') == text
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.data())
 def test_minimum_cut_is_least(data):
