@@ -94,9 +94,7 @@ SELECT source_path, tier::BIGINT AS tier FROM pool ORDER BY tier, source_path LI
 
 
 def q_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf)
-    c = K.chunk_fixed(docs).unionByName(K.chunk_recursive(docs))
-    return K.sample_rows(c).select("source_path", "strategy", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "preview")
+    return K.sample_rows(_all_chunks(spark, sf)).select("source_path", "strategy", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "preview")
 
 
 def q_bm25_chunks(spark: SparkSession, sf: str) -> DataFrame:

@@ -37,3 +37,12 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(ev)
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,error)]" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in plan
+
+
+def test_sample_rows_cover_every_strategy(spark):
+    from tessera.plans import chunks as C
+
+    n = {tuple(r[:2]): r[2] for r in C._all_chunks(spark, SF001).groupBy("source_path", "strategy").count().collect()}
+    got = {tuple(r[:2]): r[2] for r in C.q_sample_rows(spark, SF001).groupBy("source_path", "strategy").count().collect()}
+    assert got == {k: min(4, v) for k, v in n.items()}
+    assert {s for _, s in got} == set(C.STRATEGIES)
