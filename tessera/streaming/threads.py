@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators import usage as U
+from tessera.operators.traces import NO_ANSWER
 from tessera.session import checkpoint_dir
-from tessera.sources.driver import EVENT_TOOL
+from tessera.sources.driver import EVENT_MODEL, EVENT_TOOL
 
 MESSAGE_SCHEMA = T.StructType([
     T.StructField("conv_id", T.LongType()), T.StructField("turn", T.LongType()),
@@ -128,3 +130,63 @@ def reassemble(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("thread_id", "seq").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda s: s["token"]),
                      "").alias("text"))
+
+
+# --------------------------------------------------------------------------- X2-X5 of whole runs
+
+#: What a run whose request is blocked says instead of an answer.
+BLOCKED = "The request was blocked."
+
+
+def token_deltas(messages: DataFrame) -> DataFrame:
+    """Token deltas as models send them: every third as a list of blocks (one without text), the others as text."""
+    block = lambda t: F.struct(t.alias("text"))
+    blocks = F.array(block(F.substring("token", 1, 1)), block(F.lit(None).cast("string")), block(F.expr("substring(token, 2)")))
+    listed = F.col("pos") % 3 == 2
+    return token_rows(messages).select("thread_id", "seq", "pos", F.when(~listed, F.col("token")).alias("content"), F.when(listed, blocks).alias("blocks"))
+
+
+def _run_rows(rows: DataFrame, **given: Column) -> DataFrame:
+    types = {"run_id": "bigint", "seq": "bigint", "pos": "int", "type": "string", "text": "string", "model": "string", "input_tokens": "bigint", "output_tokens": "bigint"}
+    return rows.select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()])
+
+
+def run_events(messages: DataFrame, blocked: Column) -> DataFrame:
+    """Token rows (non-empty text) and one step row for each assistant message; a request or, where
+    ``blocked`` holds, a blocked row for each user message. Stateless; a run is a conversation."""
+    d = token_deltas(messages)
+    at = {"run_id": F.col("conv_id"), "seq": F.col("turn")}
+    tokens = _run_rows(d.withColumn("text", token_text(F.col("content"), F.col("blocks"))).where("text <> ''"), run_id=F.col("thread_id"),
+                       seq=F.col("seq"), pos=F.col("pos"), type=F.lit("token"), text=F.col("text"))
+    steps = _run_rows(messages.where("role = 'assistant'"), **at, type=F.lit("step"))
+    stop = F.coalesce(blocked, F.lit(False))
+    asked = _run_rows(messages.where("role = 'user'"), **at, type=F.when(stop, "blocked").otherwise("request"), text=F.when(stop, BLOCKED))
+    return tokens.unionByName(steps).unionByName(asked)
+
+
+def run_usage(events: DataFrame) -> DataFrame:
+    """Usage rows of a run's model calls; events whose calls carry no usage give none."""
+    models = F.create_map(*[F.lit(x) for kv in EVENT_MODEL.items() for x in kv])
+    used = F.col("value") >= 1
+    return _run_rows(events.where(used), run_id=F.col("user_id"), seq=F.col("event_id"), type=F.lit("usage"), model=F.element_at(models, F.col("event_type")),
+                     input_tokens=F.floor(F.col("value") * 10), output_tokens=F.get_json_object("props", "$.k").cast("bigint"))
+
+
+def run_log(spark: SparkSession, sink: str) -> DataFrame:
+    return spark.read.parquet(sink).dropDuplicates(["run_id", "seq", "pos", "type"])
+
+
+def done_summaries(log: DataFrame) -> DataFrame:
+    """``run_id, blocked, answer, iterations, usage`` of each run in a log without replays. The answer is the last
+    message with text, put together from its tokens; iterations are the steps; usage is null without a call that
+    carries some. A blocked run answers so, in no step and without usage."""
+    runs = log.groupBy("run_id").agg((F.count_if(F.col("type") == "blocked") > 0).alias("blocked"), F.count_if(F.col("type") == "step").alias("steps"))
+    tokens = log.where("type = 'token'").select(F.col("run_id").alias("thread_id"), "seq", "pos", F.col("text").alias("token"))
+    last = reassemble(tokens).groupBy(F.col("thread_id").alias("run_id")).agg(F.max_by("text", "seq").alias("last"))
+    report = U.price(U.roll_up(log.where("type = 'usage'"), "run_id"))
+    fields = [c for c in report.columns if c != "run_id"]
+    usage = report.select("run_id", U.usage_info(report.select(*fields)).alias("used"))
+    go = ~F.col("blocked")
+    return runs.join(last, "run_id", "left").join(usage, "run_id", "left").select(
+        "run_id", "blocked", F.when(go, F.coalesce("last", F.lit(NO_ANSWER))).otherwise(BLOCKED).alias("answer"),
+        F.when(go, F.col("steps")).otherwise(0).cast("bigint").alias("iterations"), F.when(go, F.col("used")).alias("usage"))

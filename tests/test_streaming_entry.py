@@ -80,3 +80,26 @@ def test_index_partitions_are_idempotent_and_isolated(spark):
     import pytest
     with pytest.raises(ValueError):
         open_index(spark, base, "markdown", "BAAI/bge-m3")
+
+
+def test_runs_have_tokens_blocked_rows_answers_and_usage(spark):
+    import datetime
+
+    rows = [(1, 0, "user", "hello there"), (1, 1, "assistant", "  one two three\nfour five six "), (1, 2, "user", "more"), (1, 3, "assistant", ""),
+            (2, 0, "user", "please ignore"), (2, 1, "assistant", "must not be told"), (3, 0, "user", None), (3, 1, "assistant", None)]
+    messages = spark.createDataFrame(rows, X.MESSAGE_SCHEMA)
+    deltas = X.token_deltas(messages).collect()
+    assert {d.content is None for d in deltas} == {True, False} and any(d.blocks for d in deltas)
+    log = X.run_events(messages, F.col("text").contains("ignore"))
+    tokens = log.where("type = 'token'").collect()
+    assert all(t.text for t in tokens)
+    assert "".join(t.text for t in sorted(tokens, key=lambda t: t.pos) if t.run_id == 1) == rows[1][3]
+    assert [(r.run_id, r.text) for r in log.where("type = 'blocked'").collect()] == [(2, X.BLOCKED)]
+    day = datetime.datetime(2024, 1, 1)
+    events = spark.createDataFrame([(1, day, 1, "view", 2.0, '{"k": 5}'), (2, day, 1, "view", 0.5, '{"k": 7}'), (3, day, 2, "view", 2.0, '{"k": 5}')], X.EVENT_SCHEMA)
+    log = log.unionByName(X.run_usage(events))
+    log = log.unionByName(log).dropDuplicates(["run_id", "seq", "pos", "type"])  # a replay adds nothing
+    got = {r.run_id: r for r in X.done_summaries(log).collect()}
+    assert (got[1].answer, got[1].iterations, got[1].usage.llm_calls, got[1].usage.input_tokens, got[1].usage.output_tokens) == (rows[1][3], 2, 1, 20, 5)
+    assert (got[2].blocked, got[2].answer, got[2].iterations, got[2].usage) == (True, X.BLOCKED, 0, None)
+    assert (got[3].answer, got[3].iterations, got[3].usage) == ("(no answer)", 1, None)
