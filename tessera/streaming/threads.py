@@ -42,7 +42,8 @@ def scratch(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "tessera-stream", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
+                max_bytes: int | None = None) -> DataFrame:
     """A Parquet table as a file stream, be it a folder of part files or a single file.
 
     A stream's source must be a folder or a glob, so the last character of the path
@@ -51,6 +52,8 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     r = spark.readStream.format("parquet").schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     path = path.rstrip("/")
     return r.load(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
