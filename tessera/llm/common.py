@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +14,8 @@ from tessera.session import cut_lineage, ship_package
 SPACES = " \t\n\x0b\f\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
-#: Rows per Arrow batch for operators over texts, so that a batch of long texts stays small.
-TEXT_BATCH = 256
+#: Rows and characters of texts that a Python operator works on at once. Arrow batches are larger (Spark bounds their bytes).
+TEXT_ROWS, TEXT_CHARS = 256, 4_000_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +28,57 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def text_batches(spark: SparkSession, rows: int = TEXT_BATCH) -> None:
-    """Python stages over texts get at most ``rows`` rows in an Arrow batch."""
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def text_slices(batches: Iterable[pd.DataFrame], column: str = "text", rows: int = TEXT_ROWS, chars: int = TEXT_CHARS) -> Iterator[pd.DataFrame]:
+    """The rows of ``batches`` in frames of at most ``rows`` rows and ``chars`` characters; a longer text stands alone."""
+    for b in batches:
+        sizes = [len(t) if t is not None else 0 for t in b[column]]
+        at, held = 0, 0
+        for i, n in enumerate(sizes):
+            if i > at and (i - at >= rows or held + n > chars):
+                yield b.iloc[at:i].reset_index(drop=True)
+                at, held = i, 0
+            held += n
+        if at < len(b):
+            yield b.iloc[at:].reset_index(drop=True)
+
+
+class Recent:
+    """What was worked out for keys, for about ``most`` to ``2 * most`` of those met last: when the newer half is full the
+    older one is dropped. Keys that come again and again stay, those that came once go."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.older = most, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """The ``keys`` that must be worked out and put into ``held``; all others are there then."""
+        if len(self.held) > self.most:
+            self.held, self.older = {}, self.held
+        held, older, out = self.held, self.older, []
+        for k in keys.difference(held):
+            if k in older:
+                held[k] = older[k]
+            else:
+                out.append(k)
+        return out
+
+    def rest(self, most: int = 50_000) -> None:
+        """Called at the end of a task: a worker that waits for its next task holds no more than ``most`` keys."""
+        self.older = {}
+        if len(self.held) > most:
+            self.held = {}
+
+
+def free_name(taken: Iterable[str], base: str) -> str:
+    """A column name that none of ``taken`` is, whatever its case."""
+    used = {c.lower() for c in taken}
+    while base.lower() in used:
+        base += "_"
+    return base
+
+
+def column(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def words_count(text: Column) -> Column:
@@ -60,3 +110,8 @@ def prefix_totals(stored: DataFrame, key: str, value: str, order: list[Column],
     offsets = totals.select("_p", key, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_off"))
     local = stored.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
     return local.join(offsets, ["_p", key]).withColumn(before, F.col("_own") + F.col("_off")).drop("_own", "_off")
+
+
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

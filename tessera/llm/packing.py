@@ -22,13 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_batches
-from tessera.session import cut_lineage
+from tessera.llm.common import Recent, text_slices
+from tessera.session import cut_lineage, ship_package
 
 #: Lengths are rounded up to this many classes in the patterns.
 CLASSES = 128
-#: Encoded words a task remembers; the memory is emptied when it is full.
-REMEMBERED = 1_000_000
+#: Encoded words and units a worker remembers, twice this at most.
+REMEMBERED = 250_000
 #: Characters that lower-casing and composition treat alike everywhere, and the tokenizer's units among them.
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f0-9]+")
@@ -50,8 +50,7 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.units, self.words = Recent(REMEMBERED), Recent(REMEMBERED)
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -64,22 +63,19 @@ class WordEncoder:
             ids, of = np.asarray(e.ids, dtype="<u4"), np.asarray(e.word_ids, dtype=np.int64)
             ends = np.searchsorted(of, np.arange(len(part)), "right")
             if len(of) and of[-1] == len(part) - 1 and (np.diff(ends, prepend=0) > 0).all():
-                self.units.update(zip(part, (x.tobytes() for x in np.split(ids, ends[:-1]))))
+                self.units.held.update(zip(part, (x.tobytes() for x in np.split(ids, ends[:-1]))))
             else:
-                self.units.update((u, self._encode(u)) for u in part)
+                self.units.held.update((u, self._encode(u)) for u in part)
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
-        for memory in (self.words, self.units):
-            if len(memory) > REMEMBERED:
-                memory.clear()
         split = [None if _RARE_SPACE.search(t) else t.split() for t in texts]
-        new = set().union(*(ws for ws in split if ws)).difference(self.words)
+        new = self.words.missing(set().union(*(ws for ws in split if ws)))
         cut = {w: _UNITS.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
-        self._learn(list(set().union(*cut.values()).difference(self.units)))
-        unit = self.units.__getitem__
+        self._learn(self.units.missing(set().union(*cut.values())))
+        unit, words = self.units.held.__getitem__, self.words.held
         for w in new:
-            self.words[w] = b"".join(map(unit, cut[w])) if w in cut else self._encode(w)
-        word = self.words.__getitem__
+            words[w] = b"".join(map(unit, cut[w])) if w in cut else self._encode(w)
+        word = words.__getitem__
         for t, ws in zip(texts, split):
             yield self._encode(t) if ws is None else b"".join(map(word, ws))
 
@@ -94,13 +90,13 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, _p, _i``: the pieces of each document's ids and its end
     id. ``_i`` numbers the pieces of one length within the task ``_p``; the table is stored."""
-    text_batches(docs.sparkSession)
+    ship_package(docs.sparkSession)
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, task = word_encoder(tokenizer_path), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
-        for b in batches:
+        for b in text_slices(batches):
             rows = []
             for doc, ids in zip(b["id"], encode.texts([t or "" for t in b["text"]])):
                 ids += end
@@ -110,6 +106,8 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
                     rows.append((doc, piece, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]), task, seen[n]))
                     seen[n] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "_p", "_i"])
+        for memory in (encode.units, encode.words):
+            memory.rest()
 
     # ids travel as text, for which null is an ordinary value in pandas
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
