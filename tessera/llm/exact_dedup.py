@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES
+from tessera.llm.common import SPACES, column, free_name
 from tessera.session import cut_lineage
 
 _STEP = 2 ** 65  # more than twice any id, so length * _STEP - id orders by length, then by smaller id
@@ -75,20 +75,32 @@ def label_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.col("id").eqNullSafe(keep).alias("kept"), F.col("dig").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 128) -> DataFrame:
-    """The rows of ``docs`` that stay, one for each group of equal texts, with all their columns.
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 128, hot_rows: int = 10_000,
+                digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each group of equal texts, with all their columns, whatever their names.
 
-    Where the id of the row that stays occurs in several rows of its group, one of them stays.
+    The row that stays is that of ``label_copies``; where several rows have its length and id, one of them does.
+    Digests are counted first, as narrow rows. A digest of at most ``hot_rows`` rows has one place, where its rows meet
+    once and are compared by their full text. Those of the others, which are at most a ``hot_rows``-th of all rows, are
+    merged by each task, then by (digest, salt), then by digest, with the full text in the key at each step. Nothing
+    is joined back, so a text is shuffled once.
     """
-    labels = label_copies(docs, id_col, text_col, salts)
-    stays = labels.where("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_dig")).agg(
-        F.count(F.lit(1)).alias("_times"))
-    stays = cut_lineage(stays, "stays")
-    marked = docs.withColumn("_dig", sha256_hex(normalised(F.col(text_col).cast("string"))))
-    on = marked[id_col].cast("long").eqNullSafe(F.col("_id")) & (marked["_dig"] == stays["_dig"])
-    once = marked.join(stays.where("_times = 1"), on, "left_semi")
-    more = stays.where("_times > 1")
-    if not more.isEmpty():
-        again = marked.join(more, on, "left_semi")
-        once = once.unionByName(again.dropDuplicates([id_col, "_dig"]))
-    return once.drop("_dig")
+    dig, norm, rank, nth, salt, row = (free_name(docs.columns, c) for c in ("copy_dig", "copy_norm", "copy_rank", "copy_nth", "copy_salt", "copy_row"))
+    text, ids = column(text_col).cast("string"), column(id_col).cast("long")
+    marked = docs.withColumn(dig, digest(normalised(text)))
+    counts = docs.select(digest(normalised(text)).alias(dig)).groupBy(dig).agg(F.count(F.lit(1)).alias(nth))
+    hot = cut_lineage(counts.where(F.col(nth) > hot_rows).select(dig), "hot-copies")
+    best = [F.length(F.coalesce(text, F.lit(""))).desc(), ids.asc_nulls_last()]
+    cold = marked if (n := hot.count()) == 0 else marked.join(F.broadcast(hot) if n <= 1_000_000 else hot, dig, "left_anti")
+    first = Window.partitionBy(dig, norm).orderBy(*best)
+    out = (cold.repartition(dig).withColumn(norm, normalised(text)).withColumn(nth, F.row_number().over(first))
+           .where(F.col(nth) == 1).select(*[column(c) for c in docs.columns]))
+    if n:
+        order = F.struct(F.length(F.coalesce(text, F.lit(""))).alias("len"), ids.isNotNull().alias("has"), (-ids.cast("decimal(20,0)")).alias("id"))
+        rows = marked.join(F.broadcast(hot) if n <= 1_000_000 else hot, dig, "left_semi").select(
+            dig, normalised(text).alias(norm), F.pmod(F.xxhash64(ids), F.lit(salts)).alias(salt), order.alias(rank),
+            F.struct(*[column(c) for c in docs.columns]).alias(row))
+        merged = lambda d, *by: d.groupBy(dig, norm, *by).agg(F.max(rank).alias(rank), F.max_by(row, rank).alias(row))
+        kept = merged(merged(rows, salt), ).select(*[F.col(row).getField(c).alias(c) for c in docs.columns])
+        out = out.unionByName(kept)
+    return out
