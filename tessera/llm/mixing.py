@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import numbered_ranges, prefix_totals, words_count
+from tessera.llm.common import column, free_name, numbered_ranges, prefix_totals, words_count
 from tessera.session import cut_lineage
 
 
@@ -46,6 +46,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share
                     F.when(water.isNull(), F.col("cap")).otherwise(F.least(water * F.col("w"), F.col("cap"))).alias("target"))
 
 
+def _key(ids: Column, seed: str) -> Column:
+    """Made from the id alone, so it does not depend on which task reads the row."""
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(ids.cast("string"), F.lit("")))), 1, 16)
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.0, max_epochs: float = 3, seed: str = "mix",
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         size: Column | None = None) -> DataFrame:
@@ -58,14 +63,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     themselves by size only, and equal ones are interchangeable. An empty source has target 0; an
     empty table gives an empty result.
     """
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                    (words_count(F.col(text_col)) if size is None else size.cast("long")).alias("size"))
+    m = placed_rows(docs, weights, share, max_epochs, seed, id_col, text_col, source_col, size)
+    m = m.withColumn("epochs", F.col("full") + F.col("last").cast("long"))
+    return m.select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
+
+
+def placed_rows(docs: DataFrame, weights: Sequence[float], share: float, max_epochs: float, seed: str, id_col: str, text_col: str,
+                source_col: str, size: Column | None) -> DataFrame:
+    """The rows of :func:`mix` with their ``key``, the whole epochs ``full`` of their source and whether the ``last`` one,
+    which is cut, takes them."""
+    d = docs.select(column(id_col).alias("doc_id"), column(source_col).alias("source"),
+                    (words_count(column(text_col)) if size is None else size.cast("long")).alias("size"))
     d = cut_lineage(d, "sizes")  # the words are counted once
     sources = cut_lineage(source_targets(
         d.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs), "targets")
-    # the key is made from the id alone, so it does not depend on which task reads the row
-    key = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 16)
-    s = d.withColumn("key", key).withColumn("src", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
+    s = d.withColumn("key", _key(F.col("doc_id"), seed)).withColumn("src", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
     order = [F.col("src"), F.col("key"), F.col("doc_id"), F.col("size")]
     placed = prefix_totals(numbered_ranges(s, order, "mix"), "src", "size", order[1:], "before")
     named = sources.select(F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("src"),
@@ -74,24 +86,30 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     m = m.withColumn("full", F.least(full, F.lit(int(max_epochs))).cast("long"))
     cut = F.col("target") - F.col("full") * F.col("source_size")
-    last = (F.col("size") > 0) & (F.col("full") < F.lit(float(max_epochs))) & (F.col("before") + F.col("size") / 2 <= cut)
-    m = m.withColumn("epochs", F.col("full") + last.cast("long"))
-    return m.select("doc_id", "source", "size", "source_size", "target", "epochs", (F.col("epochs") * F.col("size")).alias("taken"))
+    return m.withColumn("last", (F.col("size") > 0) & (F.col("full") < F.lit(float(max_epochs))) & (F.col("before") + F.col("size") / 2 <= cut))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns.
+def mixed_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.0, max_epochs: float = 3, seed: str = "mix",
+                    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", size: Column | None = None,
+                    broadcast_sources: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns, whatever their names.
 
-    Rows are matched by (id, source, size), so rows that repeat all three are taken equally often.
+    Along a source's order the cut of its last epoch takes all rows up to one; so a source comes down to its whole epochs
+    and the (key, id, size) of that row. Each document compares its own with them where it lies, and no text is
+    shuffled while the sources (a row each) are at most ``broadcast_sources``. Rows that repeat id, source and size are
+    taken alike, as often as the one of them that the cut takes last.
     """
-    id_col, text_col, source_col = (options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source")))
-    size = options.get("size")
-    plan = mix(docs, **options).groupBy("doc_id", "source", "size").agg(F.sum("epochs").alias("_all"), F.count(F.lit(1)).alias("_rows"))
-    plan = cut_lineage(plan.where("_all > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("size").alias("_size"), "_all", "_rows"), "mixplan")
-    d = docs.withColumn("_n", words_count(F.col(text_col)) if size is None else size.cast("long"))
-    on = (d[id_col].eqNullSafe(F.col("_id")) & d[source_col].eqNullSafe(F.col("_src")) & (d["_n"] == F.col("_size")))
-    # whole division: rows of one id, source and size are alike to the mix
-    times = F.ceil(F.col("_all") / F.col("_rows")).cast("int")
-    out = d.join(plan, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), times)))
-    return out.select(*[d[c] for c in docs.columns])
+    m = placed_rows(docs, weights, share, max_epochs, seed, id_col, text_col, source_col, size)
+    names = [free_name(docs.columns, c) for c in ("mix_source", "mix_full", "mix_cut", "mix_size", "mix_copy")]
+    src, full, cut, words, copy = names
+    # a null size counts as none and is never taken; a struct orders null ids first, as the cut did
+    cuts = cut_lineage(m.groupBy(F.col("source").alias(src)).agg(
+        F.max("full").alias(full), F.max(F.when(F.col("last"), F.struct("key", "doc_id", "size"))).alias(cut)), "cuts")
+    few = cuts.count() <= broadcast_sources
+    d = docs.withColumn(words, words_count(column(text_col)) if size is None else size.cast("long"))
+    d = d.join(F.broadcast(cuts) if few else cuts, column(source_col).eqNullSafe(F.col(src)))
+    own = F.struct(_key(column(id_col), seed).alias("key"), column(id_col).alias("doc_id"), F.col(words).alias("size"))
+    again = F.col(cut).isNotNull() & (F.col(words) > 0) & (own <= F.col(cut))
+    times = F.col(full) + F.coalesce(again, F.lit(False)).cast("long")
+    d = d.withColumn(full, times).where(F.col(full) > 0)
+    return d.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(full)))).select(*[column(c) for c in docs.columns])
