@@ -23,12 +23,12 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_batches
+from tessera.llm.common import Recent, column, free_name, text_slices
 from tessera.llm.components import components
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, ship_package
 
 WORDS = 5
 ROWS, BANDS = 8, 40
@@ -40,11 +40,14 @@ BLOCK = 512
 BITS = 40
 #: Pairs whose signatures agree less than this far below the threshold are not looked at: 3.6 deviations at 320 coordinates.
 SLACK = 0.08
-REMEMBERED = 400_000
+#: Word hashes a worker remembers, twice this at most.
+REMEMBERED = 100_000
+#: A table of at most so many narrow rows is broadcast; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 _WORD = re.compile(r"\w+")
 _POISSON = np.array([sum(math.exp(-1) / math.factorial(i) for i in range(n + 1)) * 2.0**32 for n in range(12)]).astype(np.uint64)
-_hashes: dict[str, int] = {}
+_hashes = Recent(REMEMBERED)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,16 +59,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def shingles(texts: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Hashes of all word shingles with their text's number, and a digest of each text's words.
     A text of fewer words is one shingle, one without words has none."""
-    if len(_hashes) > REMEMBERED:
-        _hashes.clear()
     flat: list[int] = []
     lengths, digests = [], []
     for t in texts:
         ws = _WORD.findall(t.lower())
         digests.append(hashlib.blake2b(" ".join(ws).encode("utf-8", "surrogatepass"), digest_size=16).digest())
-        for w in set(ws).difference(_hashes):
-            _hashes[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
-        flat.extend(map(_hashes.__getitem__, ws))
+        new = _hashes.missing(set(ws))
+        _hashes.held.update((w, xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))) for w in new)
+        flat.extend(map(_hashes.held.__getitem__, ws))
         lengths.append(len(ws))
     w, n = np.array(flat, dtype=np.uint64), np.array(lengths, dtype=np.int64)
     owner = np.repeat(np.arange(len(n)), n)
@@ -75,7 +76,7 @@ def shingles(texts: list[str], size: int = WORDS) -> tuple[np.ndarray, np.ndarra
     h = np.zeros(len(w), dtype=np.uint64)
     for j in range(size):
         nxt = np.zeros(len(w), dtype=np.uint64)
-        nxt[:len(w) - j] = w[j:] if j else w
+        nxt[:max(0, len(w) - j)] = w[j:]
         used = (j < take) & begins
         h[used] = _mix(h[used] + nxt[used] + np.uint64(j + 1))
     return h[begins], owner[begins], digests
@@ -161,27 +162,35 @@ def signature_table(docs: DataFrame, rows: int, bands: int) -> DataFrame:
     k = rows * bands
 
     def sign(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in text_slices(batches):
             h, owner, digests = shingles([t or "" for t in b["text"]])
             sig = dart_signatures(*weigh(h, owner), len(b), k)
             has = np.bincount(owner, minlength=len(b)) > 0
             keys, low = band_keys(sig, rows, bands), (sig & np.uint64(255)).astype(np.uint8)
             yield pd.DataFrame({"id": b["id"], "words": digests, "bands": [x if y else x[:0] for x, y in zip(keys, has)], "sig": [x.tobytes() for x in low]})
+        _hashes.rest()
 
     return cut_lineage(docs.mapInPandas(sign, "id long, words binary, bands array<long>, sig binary"), "signatures")
 
 
+def bounded_side(stored: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored table as the side of a join: broadcast if it has at most ``most`` rows, else joined by a shuffle."""
+    return F.broadcast(stored) if stored.count() <= most else stored.hint("merge")
+
+
 def cells_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``id, cells`` of the rows of ``docs(id, text)`` that ``ids(id)`` names: the unit cells of the text's
     elements, sorted. With whole counts as weights, the weighted Jaccard similarity is that of these sets."""
     def hashed(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in text_slices(batches):
             h, owner, _ = shingles([t or "" for t in b["text"]])
             cell, of, _ = unit_cells(*weigh(h, owner))
             order = np.lexsort((cell, of))
             parts = np.split(cell[order], np.cumsum(np.bincount(of, minlength=len(b)))[:-1])
             yield pd.DataFrame({"id": b["id"], "cells": [p.tobytes() for p in parts]})
+        _hashes.rest()
 
+    ids = bounded_side(cut_lineage(ids, "wanted"))
     return cut_lineage(docs.join(ids, "id", "left_semi").mapInPandas(hashed, "id long, cells binary"), "cells")
 
 
@@ -194,7 +203,7 @@ def alike(x: bytes, y: bytes, threshold: float) -> bool:
     return common >= threshold * (len(a) - common)
 
 
-def links_within(members: DataFrame, details: DataFrame, threshold: float) -> DataFrame:
+def links_within(members: DataFrame, details: DataFrame, threshold: float, slack: float = SLACK) -> DataFrame:
     """Links ``a, b`` between the classes of each bucket.
 
     ``members(key, node, label)`` and ``details(node, bands, sig, cells)``. Members outside the bucket's largest class (few, where
@@ -222,7 +231,7 @@ def links_within(members: DataFrame, details: DataFrame, threshold: float) -> Da
         key = int(g["key"].iloc[0])
         for own, of, s, b, c in zip(q["node"], q["label"], q["sig"], q["bands"], q["cells"]):
             likely = agreement(sig, np.frombuffer(s, dtype=np.uint8))
-            maybe = np.flatnonzero((likely >= threshold - SLACK) & (label != of) & ~(out & (node < own)))
+            maybe = np.flatnonzero((likely >= threshold - slack) & (label != of) & ~(out & (node < own)))
             if not len(maybe):
                 continue
             shared = bands[maybe] == b
@@ -255,7 +264,7 @@ def links_within(members: DataFrame, details: DataFrame, threshold: float) -> Da
     return blocks.mapInPandas(run, "a long, b long")
 
 
-def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: float, slack: float = SLACK) -> DataFrame:
     """The ``pairs(a, b)`` whose texts have a weighted Jaccard similarity of ``threshold`` or more."""
     sig = nodes.select("node", "sig")
     both = (pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sa"}), "a").join(sig.withColumnsRenamed({"node": "b", "sig": "sb"}), "b"))
@@ -264,7 +273,7 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: floa
         for b in batches:
             if len(b):
                 x, y = (np.stack([np.frombuffer(v, dtype=np.uint8) for v in b[c]]) for c in ("sa", "sb"))
-                yield b.loc[agreement(x, y) >= threshold - SLACK, ["a", "b"]]
+                yield b.loc[agreement(x, y) >= threshold - slack, ["a", "b"]]
 
     close = cut_lineage(both.select("a", "b", "sa", "sb").mapInPandas(likely, "a long, b long"), "close")
     cells = cells_of(docs, close.select(F.explode(F.array("a", "b")).alias("id")).distinct())
@@ -279,27 +288,33 @@ def similar(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, threshold: floa
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, bands: int = BANDS,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, class_id, kept`` for every row: classes are the connected components of near-duplicates.
-
-    ``class_id`` is the least id of the class, whose row is ``kept``. Words are runs of letters, digits and
-    underscores in lower case. Texts with the same words are one class, also those without any (null, empty).
-    Rows that share an id are one document. A row without an id is in no class: its ``class_id`` is null and
-    it is kept. With 40 bands of 8 coordinates a pair at 0.8 is found by its own buckets with 0.9994, one at
-    0.85 with 0.999997. An empty table gives an empty result.
+                 id_col: str = "doc_id", text_col: str = "text", slack: float | None = SLACK) -> DataFrame:
+    """``doc_id, class_id, kept, n_links`` for every row: classes are the connected components of near-duplicates.
+
+    ``class_id`` is the least id of the class, whose rows are ``kept``; ``n_links`` counts the tested links to other texts
+    that were needed to hold this row's text in its class (0: no other text is near, or only the same words elsewhere).
+    Words are runs of letters, digits and underscores in lower case. Texts with the same words are one class, also
+    those without any (null, empty). Rows that share an id are one document and so in one class, whatever their
+    texts. A row without an id is in no class: its ``class_id`` is null and it is kept. With 40 bands of 8 coordinates
+    a pair at 0.8 shares a bucket with 0.9994, one at 0.85 with 0.999997. Of the pairs that share a bucket, those whose
+    signatures agree by less than ``threshold - slack`` are not looked at; ``slack=None`` tests them all on their
+    shingles. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    text_batches(spark)
-    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    ship_package(docs.sparkSession)
+    slack = 1.0 + threshold if slack is None else slack
+    d = docs.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text"))
     named = d.where("id is not null")
     signed = signature_table(named, rows, bands)
     # texts with the same words become one node before anything is paired
     nodes = cut_lineage(signed.groupBy("words").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("key"))
-    shared = entries.groupBy("key").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = cut_lineage(entries.join(shared, "key"), "buckets")
+    shared = cut_lineage(entries.groupBy("key").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    buckets = cut_lineage(entries.join(bounded_side(shared), "key"), "buckets")
     stars = buckets.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = similar(stars, named, nodes, threshold)
+    links = similar(stars, named, nodes, threshold, slack)
+    one_id = links_of_ids(signed, nodes)
+    if one_id is not None:
+        links = cut_lineage(links.unionByName(one_id).distinct(), "links")
     labels = components(links)
     # pairs with a bucket's least member are done; where the others are in several classes, these are compared
     others = buckets.where("n > 2 and node <> lead").select("key", "node").join(labels, "node", "left").select(
@@ -309,22 +324,45 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, band
     if not open_.isEmpty():
         cells = cells_of(named, open_.select(F.col("node").alias("id")).distinct())
         details = nodes.select("node", "bands", "sig").join(cells.withColumnRenamed("id", "node"), "node")
-        found = cut_lineage(links_within(open_, details, threshold), "found")
+        found = cut_lineage(links_within(open_, details, threshold, slack), "found")
         if not found.isEmpty():
-            labels = components(links.unionByName(found))
-    classes = nodes.select("words", "node").join(labels, "node", "left").select("words", F.coalesce("label", "node").alias("class_id"))
-    out = signed.select("id", "words").join(classes, "words").select(F.col("id").alias("doc_id"), "class_id")
-    out = out.unionByName(d.where("id is null").select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("class_id")))
-    return out.withColumn("kept", F.col("class_id").isNull() | (F.col("doc_id") == F.col("class_id")))
+            links = links.unionByName(found)
+            labels = components(links)
+    ends = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    held = ends.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    classes = nodes.select("words", "node").join(labels, "node", "left").join(held, "node", "left").select(
+        "words", F.coalesce("label", "node").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    out = signed.select("id", "words").join(classes, "words").select(F.col("id").alias("doc_id"), "class_id", "n_links")
+    out = out.unionByName(d.where("id is null").select(F.col("id").alias("doc_id"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
+    return out.select("doc_id", "class_id", (F.col("class_id").isNull() | (F.col("doc_id") == F.col("class_id"))).alias("kept"), "n_links")
+
+
+def links_of_ids(signed: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links between the nodes that rows of one id belong to; None where no id has rows of different words."""
+    several = signed.groupBy("id").agg(F.min("words").alias("x"), F.max("words").alias("y")).where("x <> y").select("id")
+    several = cut_lineage(several, "repeated-ids")
+    if several.isEmpty():
+        return None
+    of = signed.select("id", "words").join(several, "id").join(nodes.select("words", "node"), "words").select("id", "node").distinct()
+    least = of.groupBy("id").agg(F.min("node").alias("a"))
+    return of.join(least, "id").where("a <> node").select("a", F.col("node").alias("b")).distinct()
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each class, with all its columns; rows without an id stay."""
-    keep = cut_lineage(near_classes(docs, threshold, id_col=id_col, text_col=text_col).where("kept and doc_id is not null")
-                       .groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")), "keep")
-    on = docs[id_col].cast("long") == F.col("_id")
-    out = docs.join(keep.where("_rows = 1"), on, "left_semi")
-    more = keep.where("_rows > 1")
-    if not more.isEmpty():
-        out = out.unionByName(docs.join(more, on, "left_semi").dropDuplicates([id_col]))
-    return out.unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of ``docs`` for each class, with all its columns, whatever their names; rows without an id stay.
+
+    Of several rows of the id that stays, the one whose text has the least digest stays (of equal texts, any). Only
+    the ids that go meet the documents, so that no text is shuffled while these ids are few enough to be broadcast.
+    """
+    labels = cut_lineage(near_classes(docs, threshold, id_col=id_col, text_col=text_col).where("doc_id is not null").select("doc_id", "kept"), "near-labels")
+    gone_id, place = free_name(docs.columns, "gone_id"), free_name(docs.columns, "place")
+    key = column(id_col).cast("long")
+    gone = cut_lineage(labels.where("not kept").select(F.col("doc_id").alias(gone_id)).distinct(), "gone")
+    out = docs.join(bounded_side(gone), key == F.col(gone_id), "left_anti")
+    more = cut_lineage(labels.where("kept").groupBy(F.col("doc_id").alias(gone_id)).count().where("count > 1").select(gone_id), "again")
+    if more.isEmpty():
+        return out
+    again = out.join(bounded_side(more), key == F.col(gone_id), "left_semi")
+    first = Window.partitionBy(key).orderBy(F.sha2(column(text_col).cast("string"), 256))
+    again = again.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
+    return out.join(bounded_side(more), key == F.col(gone_id), "left_anti").unionByName(again)
