@@ -110,8 +110,3 @@ def prefix_totals(stored: DataFrame, key: str, value: str, order: list[Column],
     offsets = totals.select("_p", key, F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_off"))
     local = stored.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0)))
     return local.join(offsets, ["_p", key]).withColumn(before, F.col("_own") + F.col("_off")).drop("_own", "_off")
-
-
-def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

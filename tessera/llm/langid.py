@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_batches
+from tessera.llm.common import text_slices
+from tessera.session import ship_package
 
 BITS = 16
 SIZES = (1, 2, 3)
@@ -112,10 +113,10 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, k: i
 
 def fit(sample: DataFrame, alpha: float = 0.5) -> Model | None:
     """``sample(text, lang)``, bounded, in a fixed order by ``nth`` -> the model; None if it has no letters."""
-    text_batches(sample.sparkSession)
+    ship_package(sample.sparkSession)
 
     def features(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in text_slices(batches):
             got: dict[int, list[np.ndarray]] = {}
             for rows, buckets in _ngrams(list(b["text"])):
                 for r, part in zip(np.unique(rows), _by_row(rows, buckets)):
@@ -174,12 +175,12 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     """``doc_id, lang_pred, score``: the likeliest learned language of every whole text and its calibrated
     probability; ``und`` with 0 where the text is null or has no letter, or nothing could be learned."""
     spark = docs.sparkSession
-    text_batches(spark)
+    ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # buckets times languages
 
     def score(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        for b in batches:
+        for b in text_slices(batches):
             out = pd.DataFrame({"doc_id": b["id"], "lang_pred": UNKNOWN, "score": 0.0})
             if m is not None and len(b):
                 logits, counts = m.logits([t or "" for t in b["text"]])

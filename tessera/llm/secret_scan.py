@@ -16,8 +16,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import text_batches
-from tessera.session import cut_lineage
+from tessera.llm.common import text_slices
+from tessera.session import cut_lineage, ship_package
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,8 @@ BASE_RULES = (
 #: Kinds beyond the base ones.
 MORE_RULES = (
     Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 1, needs=("PRIVATE KEY-----",)),
-    Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, needs=("eyJ",)),
+    # begins where a run begins, so that a long run is looked at once
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 30, needs=("eyJ",)),
 )
 LEDGER_SCHEMA = "blob_id string, rule string, version int, spans array<struct<start:int,end:int>>"
 
@@ -74,7 +75,7 @@ def scan_unseen(versions: DataFrame, ledger_path: str, rules: Sequence[Rule] = B
     ledger in one commit, so a job that ends early leaves the ledger as it was.
     """
     spark = versions.sparkSession
-    text_batches(spark)
+    ship_package(spark)
     wanted = [f"{r.name}:{r.version}" for r in rules]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     blobs = versions.select(F.sha2(text, 256).alias("blob_id"), text.alias("text"))
@@ -90,7 +91,7 @@ def scan_unseen(versions: DataFrame, ledger_path: str, rules: Sequence[Rule] = B
 
     def scan(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = {k: (r, re.compile(p, f)) for k, (r, p, f) in compiled.items()}
-        for b in batches:
+        for b in text_slices(batches):
             rows = []
             for blob, body, names in zip(b["blob_id"], b["text"], b["todo"]):
                 for name in names:
@@ -115,7 +116,7 @@ def findings(versions: DataFrame, ledger_path: str, rules: Sequence[Rule] = BASE
     led = open_ledger(spark, ledger_path).withColumn("no", F.element_at(numbers, F.concat_ws(":", "rule", F.col("version").cast("string"))))
     spans = led.where(F.col("no").isNotNull() & (F.size("spans") > 0)).select(
         "blob_id", F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("no").alias("no"), s["end"].alias("end"), F.col("rule").alias("kind"))).alias("own"))
-    # a row for each rule of a blob, so an array of a few entries
-    by_blob = spans.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("own"))).alias("found"))
+    # a row for each rule of a blob, so an array of a few entries; scans that ran at once may both have written a pair
+    by_blob = spans.groupBy("blob_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("own")))).alias("found"))
     none = F.array().cast("array<struct<start:int,no:int,end:int,kind:string>>")
     return paths.join(by_blob, "blob_id", "left").select("doc_id", "blob_id", F.coalesce("found", none).alias("found"))

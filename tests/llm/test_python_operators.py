@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -54,7 +55,7 @@ def _near_rows():
 
 def test_near_classes_equal_brute_force(spark):
     rows = _near_rows()
-    got = collections.Counter(map(tuple, D.near_classes(_docs(spark, rows)).collect()))
+    got = collections.Counter(tuple(r)[:3] for r in D.near_classes(_docs(spark, rows)).collect())
     named = [(i, t) for i, t, _ in rows if i is not None]
     bags = {i: _bag(t) for i, t in named}
     parent = {i: i for i in bags}
@@ -74,6 +75,12 @@ def test_near_classes_equal_brute_force(spark):
     want = collections.Counter((i, find(i), i == find(i)) for i, _ in named)
     want[(None, None, True)] += 1
     assert got == want
+    exact = D.near_classes(_docs(spark, rows), slack=None)  # without the look at the signatures
+    assert collections.Counter(tuple(r)[:3] for r in exact.collect()) == want
+    sizes = collections.Counter(c for _, c, _ in want.elements())
+    for r in exact.collect():  # a text is linked exactly where its class has other words in it
+        others = {tuple(sorted(bags[i].items())) for i, c, _ in want if c == r.class_id and c is not None}
+        assert (r.n_links > 0) == (len(others) > 1), (r, sizes[r.class_id])
     kept = D.drop_near_copies(_docs(spark, rows))
     assert sorted((r.doc_id is not None, r.doc_id) for r in kept.collect()) == sorted((i is not None, i) for i in {k[0] for k in want if k[2]})
 
@@ -171,6 +178,18 @@ def test_secret_spans_and_the_ledger(spark):
     assert S.findings(_docs(spark, []), ledger).count() == 0
 
 
+def test_rules_take_linear_time_and_repeated_ledger_rows_count_once(spark):
+    rule = next(r for r in S.MORE_RULES if r.name == "jwt")
+    compiled = re.compile(rule.pattern)
+    began = time.process_time()
+    assert rule.spans("eyJa" * 250_000, compiled) == [] and rule.spans("eyJa." + "x" * 30 + ".y eyJb", compiled) == [(0, 37)]
+    assert time.process_time() - began < 2
+    docs = _docs(spark, [(1, "token=zzzzzzzzz", None)])
+    ledger = f"{checkpoint_dir(spark)}/ledger-twice"
+    S.scan_unseen(docs, ledger).write.mode("append").parquet(ledger)  # as two scans at once would leave it
+    assert [len(r.found) for r in S.findings(docs, ledger).collect()] == [1]
+
+
 PAGE = """<body class="has-sidebar"><div id="cookie-banner"><p>We use cookies. Accept them all please.</p></div><header><h1>Site</h1><ul><li><a href=x>Home</a><li><a>About</a></ul></header>
 <div class=layout><div class="sidebar"><p>Recent posts are here for you.</p></div><main><article><header><h1>Title &amp; more</h1></header><p>First para with <a href="q>r">link</a> text.<p>Second&nbsp;para.
 <ul><li>one</li><li>two</li></ul><div class="ad">Buy now!</div><p>Third.</p><form><label>Email</label><input></form></article>
@@ -253,7 +272,7 @@ def test_maximal_segments_equal_their_definition():
     rng = random.Random(5)
     for _ in range(200):
         n = rng.randint(1, 14)
-        scores = [(i, rng.random() * 3 + 0.01) for i in sorted(rng.sample(range(n), rng.randint(0, min(n, 5))))]
+        scores = [(i, rng.choice((1, 1, -0.6)) * (rng.random() * 3 + 0.01)) for i in sorted(rng.sample(range(n), rng.randint(0, min(n, 8))))]
         drift = rng.random() + 0.05
         got = [(a, b, round(s, 6)) for a, b, s in T.maximal_segments(scores, drift)]
         assert got == _segments_brute(scores, drift, n)
@@ -284,12 +303,12 @@ def test_toxic_words_are_learned_and_odd_rows_are_scored(spark):
 
 
 def test_rare_toxic_words_count_at_every_sample_size(spark):
-    table = pd.DataFrame({"word": ["rare", "few", "once", "both"]})
     toxic, clean = np.array([20.0, 4.0, 1.0, 20.0]), np.array([0.0, 0.0, 0.0, 180.0])
     for n1, n0 in ((352, 2803), (1_000, 9_000), (4_000, 36_000), (40_000, 360_000), (2_000, 2_000)):
-        got = T.log_odds(table, toxic, clean, n1, n0, 200.0, 2.5)
-        assert "rare" in got and "once" not in got and ("both" not in got)
-        assert ("few" in got) == (n1 < n0)  # four of four are no evidence where half of the documents are toxic
+        rare, few, once, both = T.log_odds(toxic, clean, n1, n0, 200.0, 2.5)
+        assert rare > 0 and once == 0 and both <= 0
+        assert (few > 0) == (n1 < n0)  # four of four are no evidence where half of the documents are toxic
+        assert (both < 0) == (n1 == n0)
     bad = [f"bad{i}" for i in range(400)]  # each stands in four toxic documents of 4,000
     rng = random.Random(8)
     rows = []
@@ -300,6 +319,29 @@ def test_rare_toxic_words_count_at_every_sample_size(spark):
     assert set(bad) <= T.fit(_docs(spark, rows), lab, F.lit(True)).words.scores.keys()
 
 
+def test_log_odds_keep_both_signs_and_equal_their_formula():
+    n1, n0, prior = 1_000, 9_000, 200.0
+    toxic, clean = np.array([5.0, 100.0, 0.0, 30.0]), np.array([3_000.0, 90.0, 400.0, 270.0])
+    got = T.log_odds(toxic, clean, n1, n0, prior, 2.5)
+    for t, c, g in zip(toxic, clean, got):
+        a = max(prior * (t + c) / (n1 + n0), 0.5)
+        want = np.log((t + a) / (n1 + prior - t - a)) - np.log((c + a) / (n0 + prior - c - a))
+        expected = (t + c) * n1 / (n1 + n0)
+        assert g == pytest.approx(want, abs=1e-6) if abs(t - expected) > 1 else g == 0
+    assert got[0] < 0 < got[1] and got[2] < 0 and got[3] == 0
+
+
+def test_only_significant_passages_are_returned(spark):
+    words = T.WordScores({"bad": 2.0, "good": -1.5}, 0.05, 1.0, 0.01)
+    model = T.Model(words, 1.0, -2.0)
+    text = "good " * 50 + "bad " * 8 + "good " * 50 + "bad"
+    n, every = words.segments(text)
+    assert n == 109 and [(f, l) for f, l, _ in every] == [(50, 57), (108, 108)]
+    assert [(f, l) for f, l, _ in model.score(text)[1]] == [(50, 57)]  # a single word is expected 0.01 * 109 / e^2 times
+    assert model.score("bad")[1] == [] or words.expected(1, 2.0) < T.LEVEL
+    assert model.score("good")[0] == model.score("")[0]
+
+
 def test_pipeline_stages_take_effect(spark):
     import corpus_pipeline as C
 
