@@ -4,27 +4,31 @@
   overlap, run per document inside an Arrow-batched ``pandas_udf`` (no
   shuffle; documents are independent). The merge keeps its window in a deque,
   so a multi-megabyte block stays linear.
-* markdown (K4): lines exploded and classified with built-ins; fences, section
-  ids and the h1..h4 header map come from running window aggregates per
-  document; sections are re-assembled in order and split with K3.
-* semantic (K5): sentences exploded, neighbour buffer with ``lag``/``lead``,
-  embedding plug point, cosine distance to the next sentence, per-document
-  95th percentile, running-sum group ids.
+* markdown (K4): one pass over a document's lines in its row, which gives its
+  sections with their h1..h4 headers; sections are split with K3.
+* semantic (K5): a document's sentences are embedded in its row with their
+  neighbours (plug point); cuts where the cosine distance to the next is above
+  the document's 95th percentile.
+
+A document is one row and stays in its task for all four strategies, so no line, sentence or vector is shuffled.
 
 Every output row: ``(source_path, strategy, chunk_idx, chunk_id, page_content, metadata)``.
 """
 
 from __future__ import annotations
 
+import re
 from collections import deque
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import override
-from tessera.operators.index import HashedEmbedder, dot
+from tessera.operators.index import HashedEmbedder
 
 # Defaults of the reference configuration.
 CHUNK_SIZE = 1000
@@ -34,6 +38,9 @@ LADDER = ["\n\n", "\n", " ", ""]
 FIXED_SEPARATOR = "\n\n"
 SEMANTIC_PERCENTILE = 0.95
 SENTENCE_SPLIT = r"(?<=[.?!])\s+"
+_SENTENCE = re.compile(SENTENCE_SPLIT, re.ASCII)
+#: Sentences of a document that are embedded at once.
+SENTENCES = 4096
 HEADERS = [("#", "h1"), ("##", "h2"), ("###", "h3"), ("####", "h4")]
 
 CHUNK_SCHEMA = T.StructType([
@@ -164,12 +171,63 @@ def chunk_recursive(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUN
     return _frame(d, "recursive", _split_udf("recursive", size, overlap)(F.col("page_content")))
 
 
-def oversized(chunks: DataFrame, hard_max: int = HARD_MAX_CHARS) -> DataFrame:
-    """K2 metric: chunks longer than the hard cap (should be zero after K2)."""
-    return chunks.agg(F.count_if(F.length("page_content") > hard_max).alias("n_oversized"))
+# --------------------------------------------------------------------------- K4
 
+#: Unicode white space, as the SQL engine trims it.
+_BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_HEADER = re.compile(r"(#{1,4})(?: |$)")
+
+
+def markdown_sections(text: str) -> list[tuple[str, list[str | None]]]:
+    """Sections of a document as (text, headers h1 to h4): a section begins at each header line outside fences; one
+    without a body joins the section that follows if that is deeper. Blank lines count inside fences only."""
+    sections: list[tuple[list[str], list[str | None], bool]] = []  # kept lines, headers, whether it has a body
+    lines: list[str] = []
+    headers: list[str | None] = [None] * 4
+    body, fenced = False, False
+
+    def close() -> None:
+        if lines:
+            sections.append((lines, list(headers), body))
+
+    for raw in text.split("\n"):
+        line = raw.strip(_BLANKS)
+        mark = line.startswith(("```", "~~~"))
+        code = mark or fenced
+        fenced ^= mark
+        m = None if code else _HEADER.match(line)
+        if m:
+            close()
+            level = len(m[1])
+            lines, body = [line], False
+            headers = [*headers[:level - 1], line[level:].strip(" "), *[None] * (4 - level)]
+        elif line or code:
+            lines.append(line)
+            body = True
+    close()
+    out: list[tuple[str, list[str | None]]] = []
+    waiting: list[str] = []
+    depth = lambda h: sum(x is not None for x in h)
+    for i, (own, h, has_body) in enumerate(sections):
+        waiting += own
+        if has_body or i + 1 == len(sections) or depth(sections[i + 1][1]) <= depth(h):
+            out.append(("\n".join(waiting), h))
+            waiting = []
+    return out
 
-# --------------------------------------------------------------------------- K4
+
+def _markdown_udf(size: int, overlap: int):
+    one = T.StructType([T.StructField("text", T.StringType()), *[T.StructField(h, T.StringType()) for _, h in HEADERS]])
+
+    @F.pandas_udf(T.ArrayType(one))
+    def cut(texts: pd.Series) -> pd.Series:
+        def pieces(t: str | None) -> list[dict]:
+            return [{"text": p, "h1": h[0], "h2": h[1], "h3": h[2], "h4": h[3]}
+                    for text, h in markdown_sections(t or "") for p in recursive_split(text, size, overlap)]
+
+        return texts.map(pieces)
+
+    return cut
 
 
 def chunk_markdown(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
@@ -177,55 +235,12 @@ def chunk_markdown(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK
     fences ignored), h1..h4 carried, header-only sections merged into the
     deeper section that follows, then K3 inside each section."""
     d = _docs(docs)
-    lines = d.select("source_path", "metadata", F.posexplode(F.split("page_content", "\n")).alias("pos", "raw"))
-    lines = lines.withColumn("line", F.regexp_replace(F.col("raw"), r"(?U)^\s+|\s+$", ""))
-    fence = F.col("line").startswith("```") | F.col("line").startswith("~~~")
-    w = Window.partitionBy("source_path").orderBy("pos")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # lines at or after an odd number of fence markers (and the closing marker) are code
-    lines = lines.withColumn("n_fence", F.sum(fence.cast("int")).over(run))
-    in_code = (F.col("n_fence") % 2 == 1) | fence
-    level = F.length(F.regexp_extract("line", r"^(#{1,4})(?: |$)", 1))
-    lines = lines.withColumn("level", F.when(~in_code & (level > 0), level))
-    lines = lines.withColumn("hdata", F.when(F.col("level").isNotNull(),
-                                             F.trim(F.regexp_replace("line", r"^#{1,4}", ""))))
-    for k in range(1, 5):
-        lines = lines.withColumn(f"_p{k}", F.last(F.when(F.col("level") == k, F.col("pos")), True).over(run))
-        lines = lines.withColumn(f"_d{k}", F.last(F.when(F.col("level") == k, F.col("hdata")), True).over(run))
-    for k in range(1, 5):
-        prev = [F.coalesce(F.col(f"_p{j}"), F.lit(-1)) for j in range(1, k)]
-        higher = F.lit(-1) if not prev else prev[0] if len(prev) == 1 else F.greatest(*prev)
-        lines = lines.withColumn(f"h{k}", F.when(F.coalesce(F.col(f"_p{k}"), F.lit(-2)) > higher, F.col(f"_d{k}")))
-    lines = lines.withColumn("section", F.sum(F.col("level").isNotNull().cast("int")).over(run))
-    keep = lines.where((F.col("line") != "") | in_code)
-    sec = keep.groupBy("source_path", "section").agg(
-        F.first("metadata").alias("metadata"),
-        F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("ls"),
-        F.count_if(F.col("level").isNull()).alias("n_body"),
-        F.max_by(F.struct(*[F.col(f"h{k}") for k in range(1, 5)]), "pos").alias("hs"))
-    n_meta = sum(F.col(f"hs.h{k}").isNotNull().cast("int") for k in range(1, 5))
-    sec = sec.withColumn("n_meta", n_meta)
-    ws = Window.partitionBy("source_path").orderBy("section")
-    mergeable = (F.col("n_body") == 0) & (F.lead("n_meta").over(ws) > F.col("n_meta"))
-    sec = sec.withColumn("mergeable", F.coalesce(mergeable, F.lit(False)))
-    fwd = ws.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    sec = sec.withColumn("grp", F.min(F.when(~F.col("mergeable"), F.col("section"))).over(fwd))
-    grp = sec.groupBy("source_path", "grp").agg(
-        F.first("metadata").alias("metadata"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("section", "ls"))), lambda s: s["ls"])).alias("ls"),
-        F.max_by("hs", "section").alias("hs"))
-    text = F.array_join(F.transform("ls", lambda s: s["line"]), "\n")
-    hmap = F.map_filter(F.create_map(*[x for k in range(1, 5) for x in (F.lit(f"h{k}"), F.col(f"hs.h{k}"))]),
-                        lambda k, v: v.isNotNull())
-    pieces = grp.select("source_path", "grp", override(F.col("metadata"), hmap).alias("metadata"),
-                        _split_udf("recursive", size, overlap)(text).alias("arr"))
-    ex = pieces.select("source_path", "grp", "metadata", F.posexplode("arr").alias("k", "page_content"))
-    wi = Window.partitionBy("source_path").orderBy("grp", "k")
-    ex = ex.withColumn("chunk_idx", (F.row_number().over(wi) - 1).cast("int"))
-    return ex.select("source_path", F.lit("markdown").alias("strategy"), "chunk_idx",
-                     chunk_id(F.col("source_path"), F.lit("markdown"), F.col("chunk_idx")).alias("chunk_id"),
-                     "page_content",
-                     override(F.col("metadata"), F.create_map(F.lit("chunk_strategy"), F.lit("markdown"))).alias("metadata"))
+    x = d.select("source_path", "metadata", F.posexplode(_markdown_udf(size, overlap)(F.col("page_content"))).alias("chunk_idx", "p"))
+    named = F.map_filter(F.create_map(*[v for _, h in HEADERS for v in (F.lit(h), F.col(f"p.{h}"))]), lambda k, v: v.isNotNull())
+    own = F.create_map(F.lit("chunk_strategy"), F.lit("markdown"))
+    return x.select("source_path", F.lit("markdown").alias("strategy"), F.col("chunk_idx").cast("int").alias("chunk_idx"),
+                    chunk_id(F.col("source_path"), F.lit("markdown"), F.col("chunk_idx")).alias("chunk_id"),
+                    F.col("p.text").alias("page_content"), override(override(F.col("metadata"), named), own).alias("metadata"))
 
 
 # HTML -> Markdown rewrite rules for pages (tags stripped, h1..h4 to '#' lines).
@@ -250,45 +265,55 @@ def html_to_markdown(html: Column) -> Column:
 # --------------------------------------------------------------------------- K5
 
 
+def semantic_split(text: str, vectors, percentile: float = SEMANTIC_PERCENTILE) -> list[str]:
+    """K5 for one text; ``vectors(list of str)`` gives unit rows. A sentence is embedded with its neighbours, so many at
+    a time; only the distances are kept."""
+    sentences = _SENTENCE.split(text)
+    n = len(sentences)
+    around = [" ".join(sentences[max(0, i - 1):i + 2]) for i in range(n)]
+    dist, last = [], None
+    for at in range(0, n, SENTENCES):
+        v = vectors(around[at:at + SENTENCES])
+        if last is not None:
+            v = np.concatenate([last[None], v])
+        dist.append(1.0 - np.einsum("ij,ij->i", v[:-1], v[1:]))
+        last = v[-1]
+    gaps = np.round(np.concatenate(dist), 12)  # the order of summation makes no cut
+    if not len(gaps):
+        return [text]
+    cuts = np.flatnonzero(gaps > np.quantile(gaps, percentile)) + 1
+    return [" ".join(sentences[a:b]) for a, b in zip([0, *cuts], [*cuts, n])]
+
+
 def chunk_semantic(docs: DataFrame, embedder=None, percentile: float = SEMANTIC_PERCENTILE) -> DataFrame:
     """K5: cut after sentence i when the cosine distance between the buffered
     sentence i and i+1 is above the document's percentile (linear interpolation);
-    chunks are sentences joined by a space."""
-    emb = embedder or HashedEmbedder()
-    d = _docs(docs)
-    s = d.select("source_path", "metadata",
-                 F.posexplode(F.split("page_content", SENTENCE_SPLIT)).alias("pos", "sentence"))
-    w = Window.partitionBy("source_path").orderBy("pos")
-    buf = F.concat_ws(" ", F.lag("sentence").over(w), F.col("sentence"), F.lead("sentence").over(w))
-    s = s.withColumn("combined", buf)
-    s = emb.embed(s, "combined", "passage", out="vec")
-    nxt = F.lead("vec").over(w)
-    s = s.withColumn("dist", F.when(nxt.isNotNull(), 1.0 - dot(F.col("vec"), nxt)))
-    wd = Window.partitionBy("source_path")
-    s = s.withColumn("thr", F.percentile(F.col("dist"), F.lit(percentile)).over(wd))
-    cut = F.coalesce((F.col("dist") > F.col("thr")).cast("int"), F.lit(0))
-    prev_cut = F.coalesce(F.lag(cut).over(w), F.lit(0))
-    s = s.withColumn("_c", prev_cut)
-    s = s.withColumn("grp", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    g = s.groupBy("source_path", "grp").agg(
-        F.first("metadata").alias("metadata"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))), lambda x: x["sentence"]),
-                     " ").alias("page_content"))
-    g = g.withColumn("chunk_idx", (F.col("grp")).cast("int"))
-    return g.select("source_path", F.lit("semantic").alias("strategy"), "chunk_idx",
-                    chunk_id(F.col("source_path"), F.lit("semantic"), F.col("chunk_idx")).alias("chunk_id"),
-                    "page_content",
-                    override(F.col("metadata"), F.create_map(F.lit("chunk_strategy"), F.lit("semantic"))).alias("metadata"))
+    chunks are sentences joined by a space. A null document has none."""
+    vectors_of = (embedder or HashedEmbedder()).vectors
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        vectors = vectors_of()
+        for texts in batches:
+            yield texts.map(lambda t: [] if t is None else semantic_split(t, vectors, percentile))
+
+    return _frame(_docs(docs), "semantic", split(F.col("page_content")))
 
 
 # --------------------------------------------------------------------------- K6-K11
 
 
-def chunk_all(docs: DataFrame, semantic_docs: DataFrame | None = None, markdown_docs: DataFrame | None = None) -> DataFrame:
-    """K6: the same input under every strategy, one table with a ``strategy`` column."""
-    out = chunk_fixed(docs).unionByName(chunk_recursive(docs)).unionByName(chunk_markdown(markdown_docs or docs))
-    if semantic_docs is not None:
-        out = out.unionByName(chunk_semantic(semantic_docs))
+STRATEGIES = {"fixed": chunk_fixed, "recursive": chunk_recursive, "markdown": chunk_markdown, "semantic": chunk_semantic}
+
+
+def chunk_all(docs: DataFrame, strategies: tuple[str, ...] = tuple(STRATEGIES)) -> DataFrame:
+    """K6: the same input under every strategy, one table with a ``strategy`` column; an unknown name raises."""
+    out = None
+    for name in strategies:
+        if name not in STRATEGIES:
+            raise ValueError(f"unknown chunk strategy: {name!r}")
+        c = STRATEGIES[name](docs)
+        out = c if out is None else out.unionByName(c)
     return out
 
 
@@ -354,4 +379,4 @@ def sample_rows(chunks: DataFrame, per: int = 4, width: int = 400) -> DataFrame:
 
 __all__ = ["recursive_split", "fixed_split", "chunk_fixed", "chunk_recursive", "chunk_markdown", "chunk_semantic",
            "chunk_all", "chunk_stats", "pick_comparison_files", "semantic_pool", "sample_rows", "chunk_id",
-           "html_to_markdown", "oversized", "chunks_for_source"]
+           "html_to_markdown", "chunks_for_source", "STRATEGIES"]

@@ -65,41 +65,47 @@ def query_prefix(model: str, side: str) -> str:
     return ""
 
 
-def _hashed_udf(dim: int):
-    """Arrow-batched signed feature hashing of whitespace tokens.
+def hashed_vectors(texts: list, dim: int, cache: dict[str, int] | None = None) -> np.ndarray:
+    """Signed feature hashing of whitespace tokens, a row for each text, L2-normalised.
 
     Tokens are ``str.split()`` pieces (the same whitespace set as the SQL
     tokenizer); a token's hash is the first 8 hex digits of its md5, looked up
-    once per distinct token in the batch; one numpy bincount per batch builds
-    the vectors, which are L2-normalised.
+    once per distinct token in ``cache``; one numpy bincount builds the vectors.
     """
+    import hashlib
+
+    n, cache = len(texts), {} if cache is None else cache
+    rows, hs = [], []
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        for tok in t.split():
+            h = cache.get(tok)
+            if h is None:
+                h = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16)
+                cache[tok] = h
+            hs.append(h)
+            rows.append(i)
+    if not hs:
+        return np.zeros((n, dim))
+    flat = np.asarray(hs, dtype=np.int64)
+    r = np.asarray(rows, dtype=np.int64)
+    sign = np.where((flat // dim) % 2 == 0, 1.0, -1.0)
+    return unit_rows(np.bincount(r * dim + flat % dim, weights=sign, minlength=n * dim).reshape(n, dim))
+
+
+def unit_rows(mat: np.ndarray) -> np.ndarray:
+    """E2 for a matrix: rows of length 1; a zero row stays zero."""
+    norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
+    return np.divide(mat, norm, out=np.zeros_like(mat), where=norm > 0)
+
+
+def _hashed_udf(dim: int):
+    """:func:`hashed_vectors` for each Arrow batch, with one token cache a batch."""
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def embed(texts: pd.Series) -> pd.Series:
-        import hashlib
-
-        n = len(texts)
-        cache: dict[str, int] = {}
-        rows, hs = [], []
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            for tok in t.split():
-                h = cache.get(tok)
-                if h is None:
-                    h = int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:8], 16)
-                    cache[tok] = h
-                hs.append(h)
-                rows.append(i)
-        if not hs:
-            return pd.Series([np.zeros(dim)] * n)
-        flat = np.asarray(hs, dtype=np.int64)
-        r = np.asarray(rows, dtype=np.int64)
-        sign = np.where((flat // dim) % 2 == 0, 1.0, -1.0)
-        mat = np.bincount(r * dim + flat % dim, weights=sign, minlength=n * dim).reshape(n, dim)
-        norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
-        mat = np.divide(mat, norm, out=np.zeros_like(mat), where=norm > 0)
-        return pd.Series(list(mat))
+        return pd.Series(list(hashed_vectors(texts.tolist(), dim)))
 
     return embed
 
@@ -120,30 +126,63 @@ class HashedEmbedder:
         text = F.concat(F.lit(prefix), F.col(text_col)) if prefix else F.col(text_col)
         return df.withColumn(out, _hashed_udf(self.dim)(text))
 
+    def vectors(self):
+        """A function ``list[str] -> matrix`` for operators that embed parts of a row; it keeps token hashes between calls."""
+        dim, cache = self.dim, {}
+
+        def run(texts: list[str]) -> np.ndarray:
+            if len(cache) > 200_000:
+                cache.clear()
+            return hashed_vectors(texts, dim, cache)
+
+        return run
+
 
 @dataclass(frozen=True)
 class BatchModelEmbedder:
-    """E1 plug point for a real model: ``fn(list[str]) -> np.ndarray`` run per Arrow batch.
+    """E1 plug point for a real model: ``load()`` gives a function ``list[str] -> np.ndarray``.
 
-    The model is loaded lazily inside the worker by ``fn`` (one load per Python
-    worker), never on the driver.
+    ``load`` runs in the task, once for each task and never on the driver; what it returns then sees the task's texts in
+    runs of at most ``batch_texts`` texts and ``batch_chars`` characters (a longer text goes alone), whatever the size of
+    the Arrow batches. ``load`` may keep the model in a module of its own, which makes it one load for each worker.
+    ``resources`` is a Spark resource profile for the embedding stage, for instance one task a GPU.
     """
 
-    fn: object
+    load: object
     dim: int
     model: str
+    batch_texts: int = 64
+    batch_chars: int = 200_000
+    resources: object = None
+
+    def vectors(self):
+        """The loaded model as a function ``list[str] -> matrix`` of unit rows."""
+        fn, most, chars = self.load(), self.batch_texts, self.batch_chars
+
+        def run(texts: list[str]) -> np.ndarray:
+            out, at, held = [np.zeros((0, self.dim))], 0, 0
+            for i, t in enumerate([*texts, None]):
+                if i > at and (t is None or i - at >= most or held + len(t) > chars):
+                    out.append(np.asarray(fn(texts[at:i]), dtype=np.float64))
+                    at, held = i, 0
+                held += len(t or "")
+            return unit_rows(np.concatenate(out))
+
+        return run
 
     def embed(self, df: DataFrame, text_col: str, side: str = "passage", out: str = "vec") -> DataFrame:
-        fn, prefix = self.fn, query_prefix(self.model, side)
+        """``df`` with the vectors in ``out``. The texts and their vectors pass through Python with the other columns."""
+        prefix, vectors, cols = query_prefix(self.model, side), self.vectors, [c for c in df.columns if c != out]
 
-        @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def run(texts: pd.Series) -> pd.Series:
-            mat = np.asarray(fn([prefix + (t or "") for t in texts]), dtype=np.float64)
-            norm = np.sqrt((mat * mat).sum(axis=1, keepdims=True))
-            mat = np.divide(mat, norm, out=np.zeros_like(mat), where=norm > 0)
-            return pd.Series(list(mat))
+        def run(batches):
+            model = vectors()
+            for b in batches:
+                m = model([prefix + (t or "") for t in b[text_col]])
+                b[out] = list(m)
+                yield b
 
-        return df.withColumn(out, run(F.col(text_col)))
+        schema = T.StructType([*[df.schema[c] for c in cols], T.StructField(out, T.ArrayType(T.DoubleType()))])
+        return df.select(*cols).mapInPandas(run, schema, profile=self.resources)
 
 
 def get_embedder(provider: str, model: str | None = None, **kw):
@@ -152,7 +191,7 @@ def get_embedder(provider: str, model: str | None = None, **kw):
         dim = kw.get("dim", 256)
         return HashedEmbedder(dim=dim, model=model or f"hashed-tf-{dim}")
     if provider == "batch":
-        return BatchModelEmbedder(fn=kw["fn"], dim=kw["dim"], model=model or "batch")
+        return BatchModelEmbedder(model=model or "batch", **kw)
     raise ValueError(f"unknown embedding provider: {provider!r}")
 
 
@@ -176,7 +215,8 @@ class Bm25Index:
 
 
 def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "text",
-               k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, materialize: bool = True) -> Bm25Index:
+               k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25, materialize: bool = True,
+               folder: str | None = None) -> Bm25Index:
     """Postings, document frequency, document length, average length.
 
     ``idf = ln(N - df + 0.5) - ln(df + 0.5)``; a negative idf becomes
@@ -188,7 +228,8 @@ def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "t
     so that N and the average length come from the same grouped table as the
     postings. With ``materialize`` the postings are written once, in buckets of
     the passage id, so that scores add up without a shuffle; the term table is
-    written too, and the mean-idf subquery reads it.
+    written too, and the mean-idf subquery reads it. With ``folder`` both are kept
+    there (``postings``, ``terms``) for :func:`open_bm25`.
     """
     from tessera.session import cut_by_key, cut_lineage, key_buckets
 
@@ -205,7 +246,7 @@ def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "t
     grouped = rows.groupBy("term", "chunk_id", "dl").agg(
         F.count_if(F.col("term") != "").alias("tf"), F.max(F.col("pos") == 0).alias("first"))
     if materialize:
-        grouped = cut_by_key(grouped, "chunk_id", "postings")
+        grouped = cut_by_key(grouped, "chunk_id", "postings", folder and f"{folder}/postings")
     docs = grouped.where("first")
     n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
     avgdl = docs.select(F.avg("dl")).scalar()
@@ -213,11 +254,36 @@ def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "t
     df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     df_t = df_t.withColumn("raw_idf", F.ln(n_docs - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     if materialize:
-        df_t = cut_lineage(df_t)
+        df_t = cut_lineage(df_t, "terms", folder and f"{folder}/terms")
     mean_idf = df_t.select(F.avg("raw_idf")).scalar()
-    terms = df_t.select("term", "df", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf)
-                        .otherwise(F.col("raw_idf")).alias("idf"))
-    return Bm25Index(postings=postings, terms=terms, avgdl=avgdl, k1=k1, b=b)
+    return Bm25Index(postings=postings, terms=_weighted_terms(df_t, mean_idf, epsilon), avgdl=avgdl, k1=k1, b=b)
+
+
+def _weighted_terms(df_t: DataFrame, mean_idf: Column, epsilon: float) -> DataFrame:
+    return df_t.select("term", "df", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * mean_idf)
+                       .otherwise(F.col("raw_idf")).alias("idf"))
+
+
+def bm25_constants(spark, folder: str) -> dict:
+    """What a stored term index says about its corpus: passages, a hash of their ids, average length and mean idf, and
+    in how many buckets it lies. Reads ids and lengths of the marker rows and the term table."""
+    from tessera.session import key_buckets
+
+    row = spark.read.parquet(f"{folder}/postings").where("first").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.bit_xor(F.xxhash64("chunk_id")), F.lit(0)).alias("ids"), F.avg("dl").alias("avgdl")).first()
+    mean = spark.read.parquet(f"{folder}/terms").agg(F.avg("raw_idf").alias("m")).first()["m"]
+    return {"n": row["n"], "ids": row["ids"], "avgdl": row["avgdl"], "mean_idf": mean, "buckets": key_buckets(spark)}
+
+
+def open_bm25(spark, folder: str, constants: dict, k1: float = 1.5, b: float = 0.75, epsilon: float = 0.25) -> Bm25Index:
+    """The term index that ``bm25_index(..., folder=folder)`` stored; nothing is read before it is asked."""
+    from tessera.session import open_by_key
+
+    grouped = open_by_key(spark, f"{folder}/postings", "chunk_id", constants["buckets"])
+    literal = lambda x: F.lit(x).cast("double")
+    terms = _weighted_terms(spark.read.parquet(f"{folder}/terms"), literal(constants["mean_idf"]), epsilon)
+    return Bm25Index(postings=grouped.where(F.col("tf") > 0).select("term", "chunk_id", "dl", "tf"), terms=terms,
+                     avgdl=literal(constants["avgdl"]), k1=k1, b=b)
 
 
 def bm25_term_weight(idx: Bm25Index) -> Column:
@@ -287,5 +353,5 @@ def index_summary(index: DataFrame) -> DataFrame:
 __all__ = [
     "model_slug", "collection_name", "l2_normalize", "dot", "query_prefix", "HashedEmbedder",
     "BatchModelEmbedder", "get_embedder", "Bm25Index", "bm25_index", "bm25_term_weight",
-    "content_fingerprint", "write_index", "open_index", "index_summary",
+    "bm25_constants", "open_bm25", "content_fingerprint", "write_index", "open_index", "index_summary",
 ]

@@ -54,13 +54,18 @@ def attach_text(ranked: DataFrame, passages: DataFrame, broadcast_rows: int = BR
 
 def keyed_lists(lists: list[DataFrame], passages: DataFrame) -> list[DataFrame]:
     """The ranked lists with ``content_key``, the hash of the passage's text, in one pass over the passages; only
-    the texts of hits are hashed. Lists and keys are written, as fusions read them again."""
+    the texts of hits are hashed, and none is read where ``passages`` brings its keys along (a stored index does).
+    Lists and keys are written, as fusions read them again."""
     u = None
     for i, r in enumerate(lists):
         part = r.withColumn("_list", F.lit(i))
         u = part if u is None else u.unionByName(part)
-    hits = attach_text(cut_lineage(u, "hits"), passages)
-    keyed = cut_lineage(hits.withColumn("content_key", F.xxhash64("text")).drop("text"), "keyed")
+    found = cut_lineage(u, "hits")
+    if "content_key" in passages.columns:
+        r = F.broadcast(found) if fits(found, BROADCAST_ROWS) else found
+        keyed = cut_lineage(passages.select("chunk_id", "content_key").join(r, "chunk_id"), "keyed")
+    else:
+        keyed = cut_lineage(attach_text(found, passages).withColumn("content_key", F.xxhash64("text")).drop("text"), "keyed")
     return [keyed.where(F.col("_list") == i).drop("_list") for i in range(len(lists))]
 
 
@@ -270,20 +275,26 @@ METHODS = ("dense", "bm25", "hybrid", "hybrid_rerank")
 
 def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10, fetch_k: int = 20,
              dense_weight: float = 0.5, embedder=None, bm25: Bm25Index | None = None,
-             passage_vecs: DataFrame | None = None, query_vecs: DataFrame | None = None) -> DataFrame:
+             passage_vecs: DataFrame | None = None, query_vecs: DataFrame | None = None, index=None) -> DataFrame:
     """One entry point, one output schema ``(query_id, rank, chunk_id, score)``.
 
     ``passages(chunk_id, source_path, text)`` and ``queries(query_id, question)``
     come from one chunk strategy (R10). hybrid fuses dense and BM25 lists of
     ``fetch_k`` each and cuts at ``k``; hybrid_rerank fetches the fused
-    ``fetch_k`` then re-ranks to ``k`` (R7).
+    ``fetch_k`` then re-ranks to ``k`` (R7). With ``index`` (a :class:`StoredIndex`
+    of these passages) vectors, postings and content keys are read from it, and
+    ``passages`` only gives the texts that are re-ranked.
     """
     if method not in METHODS:
         raise ValueError(f"unknown retrieval method: {method!r}")
     from tessera.operators.index import HashedEmbedder, bm25_index
 
+    if index is not None:
+        index.check_aligned()
     if method in ("dense", "hybrid", "hybrid_rerank"):
         emb = embedder or HashedEmbedder()
+        if passage_vecs is None and index is not None:
+            passage_vecs = index.vectors
         if passage_vecs is None:
             # the vector index: embedded once, written to the shared checkpoint folder
             passage_vecs = cut_lineage(
@@ -291,7 +302,7 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
         if query_vecs is None:
             query_vecs = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
     if method in ("bm25", "hybrid", "hybrid_rerank") and bm25 is None:
-        bm25 = bm25_index(passages)
+        bm25 = bm25_index(passages) if index is None else index.bm25
     if method == "dense":
         return dense_topk(query_vecs, passage_vecs, k)
     if method == "bm25":
@@ -299,7 +310,8 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
     # hybrid: each list k, fused list cut at k. hybrid_rerank: each list fetch_k,
     # the whole fused list (at most 2 * fetch_k keys) is re-ranked down to k.
     per_list = k if method == "hybrid" else fetch_k
-    d, b = keyed_lists([dense_topk(query_vecs, passage_vecs, per_list), bm25_topk(queries, bm25, per_list)], passages)
+    d, b = keyed_lists([dense_topk(query_vecs, passage_vecs, per_list), bm25_topk(queries, bm25, per_list)],
+                       passages if index is None else index.keys)
     fused = rrf_fuse([d, b], [dense_weight, 1.0 - dense_weight], k if method == "hybrid" else 2 * per_list)
     if method == "hybrid":
         return fused
@@ -313,7 +325,7 @@ def with_sources(ranked: DataFrame, passages: DataFrame) -> DataFrame:
 
 
 def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k: int = 10, fetch_k: int = 20,
-                  dense_weight: float = 0.5, embedder=None) -> dict[str, DataFrame]:
+                  dense_weight: float = 0.5, embedder=None, index=None) -> dict[str, DataFrame]:
     """R8 + R9 for several methods at once: the dense and BM25 lists are fetched
     once at ``max(k, fetch_k)`` and written (questions x fetch_k rows); every
     method derives from them with ``rank <= k`` predicates. Same results as
@@ -325,14 +337,17 @@ def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k
             raise ValueError(f"unknown retrieval method: {m!r}")
     depth = max(k, fetch_k)
     emb = embedder or HashedEmbedder()
+    if index is not None:
+        index.check_aligned()
     lists = {}
     if set(methods) & {"dense", "hybrid", "hybrid_rerank"}:
-        pv = cut_lineage(emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
+        pv = index.vectors if index is not None else cut_lineage(
+            emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
         qv = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
         lists["dense"] = dense_topk(qv, pv, depth)
     if set(methods) & {"bm25", "hybrid", "hybrid_rerank"}:
-        lists["bm25"] = bm25_topk(queries, bm25_index(passages), depth)
-    lists = dict(zip(lists, keyed_lists(list(lists.values()), passages)))
+        lists["bm25"] = bm25_topk(queries, bm25_index(passages) if index is None else index.bm25, depth)
+    lists = dict(zip(lists, keyed_lists(list(lists.values()), passages if index is None else index.keys)))
     out = {}
     cut = lambda df, n: df.where(F.col("rank") <= n)
     for m in methods:

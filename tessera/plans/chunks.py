@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import chunking as K
-from tessera.operators.index import bm25_index, index_summary, open_index, write_index
+from tessera.operators import matrix as M
+from tessera.operators.evaluate import KS, containment_truth, hit_mrr, qa_table
+from tessera.operators.index import HashedEmbedder, index_summary, open_index, write_index
 from tessera.operators.retrieve import bm25_topk
+from tessera.operators.stored import build_index, files_state
+from tessera.plans.retrieval import index_folder
 from tessera.session import checkpoint_dir
 from tessera.sources.driver import doc_corpus, questions, table
 
@@ -52,9 +56,8 @@ def q_chunk_semantic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _docs(spark, sf)
-    return (K.chunk_fixed(docs).unionByName(K.chunk_recursive(docs))
-            .unionByName(K.chunk_markdown(_md_pages(spark, sf))).unionByName(K.chunk_semantic(docs)))
+    """K6: documents and pages under all four strategies."""
+    return K.chunk_all(_docs(spark, sf).unionByName(_md_pages(spark, sf)))
 
 
 def q_chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -99,12 +102,44 @@ def q_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_bm25_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """R3 at chunk grain over the recursive chunks (ids are chunk ids)."""
-    c = K.chunk_recursive(_docs(spark, sf)).select("chunk_id", F.col("page_content").alias("text"))
-    r = bm25_topk(questions(spark, sf), bm25_index(c), k=10)
+    index = build_index(_passages(_docs(spark, sf), "recursive"), index_folder(spark, sf), "recursive", HashedEmbedder(), _state(spark, sf), ("postings",))
+    r = bm25_topk(questions(spark, sf), index.bm25, k=10)
     return r.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("rank").cast("bigint").alias("rank"),
                     "chunk_id", F.round("score", 6).alias("score"))
 
 
+def _state(spark: SparkSession, sf: str) -> str:
+    return f"{files_state(spark, f'{sf.rstrip("/")}/documents.parquet')}:{K.CHUNK_SIZE}:{K.CHUNK_OVERLAP}"
+
+
+def _passages(docs: DataFrame, strategy: str) -> DataFrame:
+    return K.STRATEGIES[strategy](docs).select("chunk_id", "source_path", F.col("page_content").alias("text"))
+
+
+#: Chunk strategies and models of the matrix; with the four methods 16 combinations.
+MATRIX_STRATEGIES = ("fixed", "recursive")
+MATRIX_MODELS = (HashedEmbedder(), HashedEmbedder(dim=64, model="hashed-tf-64"))
+
+
+def run_chunk_matrix(spark: SparkSession, sf: str, embedders=MATRIX_MODELS) -> M.Matrix:
+    docs, state = _docs(spark, sf), _state(spark, sf)
+    corpora = {s: _passages(docs, s) for s in MATRIX_STRATEGIES}
+    return M.run_matrix(questions(spark, sf), corpora, embedders, index_folder(spark, sf), k=max(KS), fetch_k=20, states=dict.fromkeys(corpora, state))
+
+
+def q_eval_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """V6 (V1-V4, V7 on it): hit@k and MRR@k of every chunk strategy, model and method; a combination that failed is a
+    row with its error."""
+    m = run_chunk_matrix(spark, sf)
+    if not m.combos:
+        raise ValueError(f"every combination failed: {m.failed}")
+    qs, docs = questions(spark, sf), doc_corpus(spark, sf)
+    truth = containment_truth(qs, docs)
+    out = hit_mrr(qa_table(qs, truth, docs), m.ranked, truth, M.KEYS, m.combos).select(
+        *M.KEYS, "k", "n_questions", F.round("hit_rate", 6).alias("hit_rate"), F.round("mrr", 6).alias("mrr"), F.lit(None).cast("string").alias("error"))
+    return out.unionByName(m.failures(spark), allowMissingColumns=True) if m.failed else out
+
+
 def q_index_build(spark: SparkSession, sf: str) -> DataFrame:
     """Write the recursive-chunk index partition (idempotent), reopen it
     with partition pruning and summarise (E6)."""
@@ -127,6 +162,7 @@ QUERIES = {
     "sample_rows": q_sample_rows,
     "bm25_chunks": q_bm25_chunks,
     "index_build": q_index_build,
+    "eval_matrix": q_eval_matrix,
 }
 
 ORACLES = {
@@ -142,5 +178,6 @@ NO_ORACLE = {
     "chunk_stats": "depends on the chunk tables above",
     "sample_rows": "depends on the chunk tables above",
     "bm25_chunks": "depends on the chunk tables above",
+    "eval_matrix": "depends on the chunk tables above; pytest compares it with brute force",
     "index_build": "writes and reopens a partitioned index",
 }

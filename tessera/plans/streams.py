@@ -13,6 +13,7 @@ from tessera.operators import guard as G
 from tessera.operators.traces import NO_ANSWER
 from tessera.plans.agents import SQL_USAGE_CALLS, _sql_price, _sql_rollup
 from tessera.plans.text import _sql_flags
+from tessera.streaming import state as Z
 from tessera.streaming import threads as X
 
 
@@ -136,5 +137,34 @@ SELECT run_id::BIGINT AS run_id, blocked, CASE WHEN blocked THEN '{X.BLOCKED}' E
        CASE WHEN NOT blocked THEN cost_usd END AS cost_usd
 FROM r"""
 
-QUERIES |= {"run_events": q_run_events, "run_done": q_run_done}
-ORACLES |= {"run_events": SQL_RUN_EVENTS, "run_done": SQL_RUN_DONE}
+
+# ---------------------------------------------------------------- thread_ranges (X1) / run_done_stream (X4): keyed state
+
+def q_thread_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations streamed into keyed state that holds each thread's message numbers; what the state emitted."""
+    base = X.scratch(spark, "ranges")
+    src = X.file_stream(spark, f"{sf}/conversations.parquet", X.MESSAGE_SCHEMA)
+    Z.run_until_now(Z.track_threads(X.message_rows(src)), os.path.join(base, "updates"), os.path.join(base, "ckpt"))
+    updates = spark.read.schema(Z.THREAD_UPDATE).parquet(os.path.join(base, "updates"))
+    return Z.tracked_state(updates).select("thread_id", F.col("n_messages").cast("bigint").alias("n_messages"), "last_seq")
+
+
+def q_run_done_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of messages and model calls gather in a run's state until its end marker and as many rows as that says
+    have come; then the run's done row is emitted."""
+    base = X.scratch(spark, "done")
+    blocked = F.size(G.injection_flags(F.expr(ASKED))) > 0
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{sf}/{name}.parquet")
+    ends = os.path.join(base, "ends")
+    Z.end_markers(X.run_events(read("conversations", X.MESSAGE_SCHEMA), blocked).unionByName(X.run_usage(read("events", X.EVENT_SCHEMA)))).write.parquet(ends)
+    rows = (X.run_events(X.file_stream(spark, f"{sf}/conversations.parquet", X.MESSAGE_SCHEMA), blocked)
+            .unionByName(X.run_usage(X.file_stream(spark, f"{sf}/events.parquet", X.EVENT_SCHEMA)))
+            .unionByName(X.file_stream(spark, ends, spark.read.parquet(ends).schema)))
+    Z.run_until_now(Z.done_rows(rows), os.path.join(base, "done"), os.path.join(base, "ckpt"))
+    u = lambda c: F.col("usage")[c].alias(c)
+    return Z.priced(spark.read.schema(Z.DONE).parquet(os.path.join(base, "done"))).select(
+        "run_id", "blocked", "answer", "iterations", u("llm_calls"), u("model"), u("input_tokens"), u("output_tokens"), u("cost_usd"))
+
+
+QUERIES |= {"run_events": q_run_events, "run_done": q_run_done, "thread_ranges": q_thread_ranges, "run_done_stream": q_run_done_stream}
+ORACLES |= {"run_events": SQL_RUN_EVENTS, "run_done": SQL_RUN_DONE, "thread_ranges": SQL_THREAD_STREAM, "run_done_stream": SQL_RUN_DONE}

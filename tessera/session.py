@@ -64,19 +64,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local
 
 
-def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as a parquet table in the shared checkpoint folder and read it
+def cut_lineage(df: DataFrame, name: str = "table", path: str | None = None) -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder (or at ``path``) and read it
     back: lineage is cut, the result survives executor loss, and later readers
     get columnar scans (cheaper than an RDD checkpoint of serialized rows)."""
     import uuid
 
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/tessera-tables/{name}-{uuid.uuid4().hex}"
+    if path is None:
+        base = checkpoint_dir(df.sparkSession).rstrip("/")
+        path = f"{base}/tessera-tables/{name}-{uuid.uuid4().hex}"
+        for held in _SCOPES:
+            held.append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-def cut_by_key(df: DataFrame, key: str, name: str = "table") -> DataFrame:
+_SCOPES: list[list[str]] = []
+
+
+class stored_copies:
+    """``with stored_copies() as paths`` lists the tables that :func:`cut_lineage` and :func:`cut_by_key` write meanwhile, so
+    that a caller can give them to :func:`delete_paths` once nothing reads them any more."""
+
+    def __enter__(self) -> list[str]:
+        _SCOPES.append([])
+        return _SCOPES[-1]
+
+    def __exit__(self, *_) -> None:
+        _SCOPES.pop()
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders on whatever file system they are; those that are gone already are passed over."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def cut_by_key(df: DataFrame, key: str, name: str = "table", path: str | None = None) -> DataFrame:
     """:func:`cut_lineage` for a table that is grouped by ``key`` afterwards: it is stored in buckets of ``key``, so
     such groupings need no shuffle. ``df`` should come from ``repartition(key_buckets(spark), key)``, which makes one
     file a bucket. Buckets are read through a catalogue entry, which is dropped once the plan holds the files."""
@@ -84,8 +110,26 @@ def cut_by_key(df: DataFrame, key: str, name: str = "table") -> DataFrame:
 
     spark = df.sparkSession
     table = f"tessera_{name}_{uuid.uuid4().hex}"
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-tables/{table}"
+    if path is None:
+        path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-tables/{table}"
+        for held in _SCOPES:
+            held.append(path)
     df.write.format("parquet").bucketBy(key_buckets(spark), key).option("path", path).saveAsTable(table)
+    return _forget_entry(spark, table)
+
+
+def open_by_key(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A table that :func:`cut_by_key` wrote to ``path`` in ``buckets`` buckets."""
+    import uuid
+
+    table = f"tessera_open_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {buckets} BUCKETS LOCATION '{place}'")
+    return _forget_entry(spark, table)
+
+
+def _forget_entry(spark: SparkSession, table: str) -> DataFrame:
     stored = spark.table(table)
     stored.schema  # resolved before the entry goes; the files of an external table stay
     spark.sql(f"DROP TABLE {table}")
