@@ -28,31 +28,12 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(c, WS), lambda t: t != F.lit(""))
 
 
-def token_count(text: Column | str) -> Column:
-    """``len(text.split())`` without building a filtered array: the split has an
-    empty first / last piece exactly when the text starts / ends with whitespace."""
-    c = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    lead = F.substring(c, 1, 1).rlike(WS_CHAR).cast("int")
-    trail = F.substring(c, -1, 1).rlike(WS_CHAR).cast("int")
-    return F.when(c.rlike(WS_ONLY), F.lit(0)).otherwise(F.size(F.split(c, WS)) - lead - trail)
-
-
 def token_rows(df, keep: list[str], text: Column | str, out: str = "term"):
     """One row per whitespace token (codegen-friendly: explode, then drop empties)."""
     c = F.col(text) if isinstance(text, str) else text
     return df.select(*keep, F.explode_outer(F.split(c, WS)).alias(out)).where(F.col(out) != "")
 
 
-def py_strip(text: Column) -> Column:
-    """Python ``str.strip()`` (Unicode whitespace at both ends)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-
-
-def truncate_preview(text: Column, n: int) -> Column:
-    """``text[:n]`` in characters."""
-    return F.substring(text, 1, n)
-
-
 def source_path(source: Column, doc_id: Column) -> Column:
     """File-grain identity of a driver document: ``source/doc_id``."""
     return F.concat_ws("/", source, doc_id.cast("string"))

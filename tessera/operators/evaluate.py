@@ -6,38 +6,45 @@ column, so one retrieval at max(k) serves every k (R9).
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.prefix import global_positions
 from tessera.functions.text import tokens
-from tessera.session import fits
 
 KS = (3, 5, 10)
 
 # --------------------------------------------------------------------------- D6
 
 
+#: Bytes of question texts that a task gets as a whole.
+MATCH_BYTES = 64 << 20
+
+
 def containment_truth(questions: DataFrame, docs: DataFrame, q_text: str = "question",
-                      d_text: str = "page_content", broadcast_rows: int = 1_000) -> DataFrame:
+                      d_text: str = "page_content", match_bytes: int = MATCH_BYTES) -> DataFrame:
     """``(query_id, source_path)`` for every document whose text contains the question.
 
-    A small question table (size-checked) is broadcast and tested against each
-    document as the documents stream past (no shuffle of documents). A larger
-    one goes through an exact token route: a question with three or more
+    Questions of at most ``match_bytes`` go to every task, which finds all of them in one pass over each document
+    as it streams past (:class:`Matcher`); no document is shuffled. More questions go through an exact token route:
+    a question with three or more
     whitespace tokens has whole interior tokens, and any containing document
     has each of them as a whole token; the question's rarest interior token
     (lowest document frequency, so a hot token is never the join key unless
     every token is hot) selects candidate documents through an equi-join on
     narrow ``(source_path, term)`` rows, and only candidates get their text
-    back for the ``contains`` check. Questions with fewer tokens use the
-    broadcast test.
+    back for the ``contains`` check. Questions with fewer tokens are matched in blocks
+    of ``match_bytes``, with a pass over the documents for each block.
     """
-    q = questions.select("query_id", F.col(q_text).alias("q"))
+    q = questions.select("query_id", F.col(q_text).alias("q")).where("q is not null")
     d = docs.select("source_path", F.col(d_text).alias("t"))
-    if fits(q, broadcast_rows):
-        return (d.join(F.broadcast(q), F.col("t").contains(F.col("q")))
-                .select("query_id", "source_path"))
+    bytes_ = lambda x: x.agg(F.coalesce(F.sum(F.octet_length("q") + 16), F.lit(0))).first()[0]
+    if bytes_(q) <= match_bytes:
+        return _matched(q, d)
     qt = q.withColumn("toks", tokens(F.col("q")))
     interior = qt.where(F.size("toks") >= 3).select(
         "query_id", F.explode(F.slice("toks", 2, F.size("toks") - 2)).alias("term"))
@@ -46,11 +53,31 @@ def containment_truth(questions: DataFrame, docs: DataFrame, q_text: str = "ques
     pick = (interior.join(df_t, "term", "left").groupBy("query_id")
             .agg(F.min_by("term", F.coalesce("df", F.lit(0))).alias("term")))
     cand = doc_terms.join(pick, "term").select("query_id", "source_path")
-    long_hits = (cand.join(d, "source_path").join(q, "query_id")
-                 .where(F.col("t").contains(F.col("q"))).select("query_id", "source_path"))
+    hits = (cand.join(d, "source_path").join(q, "query_id")
+            .where(F.col("t").contains(F.col("q"))).select("query_id", "source_path"))
     short = qt.where(F.size("toks") < 3).select("query_id", "q")
-    short_hits = d.join(F.broadcast(short), F.col("t").contains(F.col("q"))).select("query_id", "source_path")
-    return long_hits.unionByName(short_hits)
+    blocks = -(-bytes_(short) // max(1, match_bytes))
+    for i in range(blocks):
+        block = short.where(F.pmod(F.xxhash64("query_id", "q"), F.lit(blocks)) == i)
+        hits = hits.unionByName(_matched(block, d))
+    return hits
+
+
+def _matched(q: DataFrame, d: DataFrame) -> DataFrame:
+    from tessera.operators.contains import Matcher
+
+    rows = q.collect()  # bounded by the caller
+    shared = q.sparkSession.sparkContext.broadcast(([r["query_id"] for r in rows], [r["q"] for r in rows]))
+    schema = T.StructType([q.schema["query_id"], d.schema["source_path"]])
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, texts = shared.value
+        matcher = Matcher(texts)
+        for b in batches:
+            found = [(ids[i], path) for path, t in zip(b["source_path"], b["t"]) if t is not None for i in matcher.find(t)]
+            yield pd.DataFrame(found, columns=["query_id", "source_path"])
+
+    return d.select("source_path", "t").mapInPandas(run, schema)
 
 
 def qa_table(questions: DataFrame, truth: DataFrame, docs: DataFrame) -> DataFrame:
@@ -145,21 +172,27 @@ def wide_report(metrics: DataFrame, keys: list[str], ks: tuple[int, ...] = KS, d
 # --------------------------------------------------------------------------- J
 
 
+def metric_column(columns: list[str], metric: str) -> str:
+    """The column of a metric; case, ``-`` and ``_`` do not count. None or several matches raise."""
+    plain = lambda x: x.lower().replace("-", "").replace("_", "")
+    found = [c for c in columns if plain(c) == plain(metric)]
+    if len(found) != 1:
+        raise ValueError(f"metric {metric!r} matches {found or 'no column'}")
+    return found[0]
+
+
 def judged_means(scores: DataFrame, config_cols: list[str], metrics: list[str]) -> DataFrame:
     """Mean per metric per configuration, long form. NaN scores are skipped
-    (pandas ``mean``); a metric with no value gives NaN."""
+    (pandas ``mean``); a metric with no value gives NaN. Metrics are matched with
+    :func:`metric_column` and reported under the names that were asked for."""
+    named = {m: metric_column([c for c in scores.columns if c not in config_cols], m) for m in metrics}
     long = scores.select(*config_cols, F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])).alias("x"))
+        F.struct(F.lit(m).alias("metric"), F.col(f"`{c}`").cast("double").alias("v")) for m, c in named.items()])).alias("x"))
     long = long.select(*config_cols, "x.metric", F.nanvl(F.col("x.v"), F.lit(None).cast("double")).alias("v"))
     return long.groupBy(*config_cols, "metric").agg(
         F.coalesce(F.avg("v"), F.lit(float("nan"))).alias("mean"))
 
 
-def normalize_metric_name(name: Column) -> Column:
-    """J2 column match: case and ``-``/``_`` are ignored."""
-    return F.regexp_replace(F.lower(name), "[-_]", "")
-
-
 def best_per_metric(means: DataFrame, config_cols: list[str]) -> DataFrame:
     """configuration(s) with the highest mean per metric (ties all win)."""
     w = Window.partitionBy("metric").orderBy(F.col("mean").desc())
@@ -217,8 +250,9 @@ def judge_samples(qa: DataFrame, answers: DataFrame, ranked: DataFrame, key: str
 
 
 def first_questions(qa: DataFrame, n: int, order_col: str = "id") -> DataFrame:
-    """The first n questions by id (a top-N: sort-limit)."""
-    return qa.orderBy(order_col).limit(n)
+    """The first n questions in input order (a top-N: sort-limit). Ids of D3 order by their number, whatever its width."""
+    number = F.regexp_extract(F.col(order_col).cast("string"), r"(\d+)$", 1).cast("decimal(38,0)")
+    return qa.orderBy(number.asc_nulls_last(), order_col).limit(n)
 
 
 def mix_check(obtained: DataFrame, quota: DataFrame, file_col: str = "source_file") -> DataFrame:

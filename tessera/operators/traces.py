@@ -212,14 +212,15 @@ def trace_steps(calls: DataFrame, results: DataFrame, key: str = "thread_id") ->
     """T5: one row per tool call (JSON args) and per tool result (first 800
     characters), in (seq, pos) order.
 
-    calls:   (key, seq, pos, name, args map/struct)
+    calls:   (key, seq, pos, name, args: a map or struct, or its JSON)
     results: (key, seq, name, content)
     """
+    is_json = calls.schema["args"].dataType.typeName() == "string"
     c = calls.select(key, "seq", "pos", F.lit("tool_call").alias("kind"), "name",
-                     F.to_json("args").alias("payload"))
+                     (F.col("args") if is_json else F.to_json("args")).alias("payload"))
     r = results.select(key, "seq", F.lit(0).alias("pos"), F.lit("tool_result").alias("kind"),
                        F.coalesce("name", F.lit("tool")).alias("name"),
-                       F.substring("content", 1, 800).alias("payload"))
+                       F.substring(F.col("content").cast("string"), 1, 800).alias("payload"))
     return c.unionByName(r)
 
 

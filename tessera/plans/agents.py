@@ -294,13 +294,10 @@ def q_thread_trace(spark: SparkSession, sf: str) -> DataFrame:
     s = _event_steps(spark, sf)
     calls = s.where(F.col("tool").isNotNull()).select(
         F.col("item_id").alias("thread_id"), "seq", F.lit(0).alias("pos"), F.col("tool").alias("name"),
-        F.col("props").alias("args_json"))
-    c = calls.select("thread_id", "seq", F.lit("tool_call").alias("kind"), "name", F.col("args_json").alias("payload"))
-    r = s.select(F.col("item_id").alias("thread_id"), "seq", F.lit("tool_result").alias("kind"),
-                 F.coalesce("tool", F.lit("tool")).alias("name"),
-                 F.substring(F.col("value").cast("string"), 1, 800).alias("payload"))
-    return c.unionByName(r).select(F.col("thread_id").cast("bigint").alias("thread_id"),
-                                   F.col("seq").cast("bigint").alias("seq"), "kind", "name", "payload")
+        F.col("props").alias("args"))
+    results = s.select(F.col("item_id").alias("thread_id"), "seq", F.col("tool").alias("name"), F.col("value").alias("content"))
+    return A.trace_steps(calls, results).select(F.col("thread_id").cast("bigint").alias("thread_id"),
+                                                F.col("seq").cast("bigint").alias("seq"), "kind", "name", "payload")
 
 
 SQL_THREAD_TRACE = f"""

@@ -433,7 +433,7 @@ def q_judge_first(spark: SparkSession, sf: str) -> DataFrame:
     return V.first_questions(ids, JUDGE_LIMIT).select("item_id", "id")
 
 
-SQL_JUDGE_FIRST = f"SELECT * FROM ({SQL_QA_IDS}) ORDER BY id LIMIT {JUDGE_LIMIT}"
+SQL_JUDGE_FIRST = f"SELECT * FROM ({SQL_QA_IDS}) ORDER BY length(id), id LIMIT {JUDGE_LIMIT}"
 
 
 # ---------------------------------------------------------------- mix_check

@@ -160,7 +160,53 @@ def test_containment_token_route_equals_broadcast_route(spark):
     qs = questions(spark, SF001).unionByName(
         spark.createDataFrame([(900001, "a"), (900002, "the and")], "query_id long, question string"))
     docs = doc_corpus(spark, SF001)
-    a = V.containment_truth(qs, docs)                       # broadcast route
-    b = V.containment_truth(qs, docs, broadcast_rows=0)     # token route
+    a = V.containment_truth(qs, docs)                      # one pass over the documents
+    b = V.containment_truth(qs, docs, match_bytes=40)      # token route, short questions in blocks
     assert a.count() > 0
+    for route in (a, b):
+        assert "NestedLoop" not in route._jdf.queryExecution().executedPlan().toString()
+    brute = docs.crossJoin(F.broadcast(qs)).where(F.col("page_content").contains(F.col("question"))).select("query_id", "source_path")
+    assert a.exceptAll(brute).count() == 0 and brute.exceptAll(a).count() == 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_matcher_equals_a_test_of_each_pattern():
+    import random
+
+    from tessera.operators.contains import Matcher
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("ab é\U0001d11e") for _ in range(n))
+    for _ in range(150):
+        text = word(rng.randint(0, 120))
+        patterns = [word(rng.randint(0, 14)) for _ in range(30)] + [text[i:i + rng.randint(0, 40)] for i in range(0, len(text), 9)] + [text, text + "a", ""]
+        assert Matcher(patterns).find(text) == [i for i, p in enumerate(patterns) if p in text]
+    assert Matcher([]).find("abc") == [] and Matcher(["a"]).find("") == []
+
+
+def test_many_questions_take_one_pass():
+    import time
+
+    from tessera.operators.contains import Matcher
+
+    patterns = [f"what is the meaning of thing number {i} in part {i % 97}" for i in range(20_000)]
+    m = Matcher(patterns)
+    text = " ".join(f"filler {i}" for i in range(200_000)) + " " + patterns[777] + "!"
+    began = time.process_time()
+    assert m.find(text) == [777]
+    assert time.process_time() - began < 5
+
+
+def test_first_questions_order_by_number(spark):
+    ids = spark.createDataFrame([(f"qa_{i:04d}",) for i in (9999, 10000, 2, 1001, 10001, 1)], "id string")
+    assert [r.id for r in V.first_questions(ids, 5).collect()] == ["qa_0001", "qa_0002", "qa_1001", "qa_9999", "qa_10000"]
+
+
+def test_metric_names_match_without_case_and_dashes(spark):
+    import pytest
+
+    s = spark.createDataFrame([("m", 1.0, 0.5), ("m", 0.0, None)], "`Model_Name` string, `Answer-Relevancy` double, faithfulness double")
+    got = {r.metric: r.mean for r in V.judged_means(s, ["Model_Name"], ["answer_relevancy", "FAITHFULNESS"]).collect()}
+    assert got == {"answer_relevancy": 0.5, "FAITHFULNESS": 0.5}
+    with pytest.raises(ValueError, match="no column"):
+        V.judged_means(s, ["Model_Name"], ["recall"])
