@@ -1,7 +1,8 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 The model is fitted on a bounded sample of labelled rows (``per_language`` and ``max_sample`` rows) with
-follow-the-regularised-leader and an elastic net; a fifth of the sample sets the temperature. Term
+follow-the-regularised-leader and an elastic net; a fifth of the sample sets the temperature. Document
+frequencies are counted over all rows that may be learned from. Term
 frequencies are shares of a text's n-grams, so a text's logits are the mean of one table row for each of
 its n-grams, and whole texts of any length are scored in one pass without a sparse matrix.
 """
@@ -111,8 +112,48 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, k: i
     return w[:-1], w[-1]
 
 
-def fit(sample: DataFrame, alpha: float = 0.5) -> Model | None:
-    """``sample(text, lang)``, bounded, in a fixed order by ``nth`` -> the model; None if it has no letters."""
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of ``texts(text)`` each bucket's n-grams occur, and how many texts have any. Each task adds its texts up
+    in one array; Spark adds the tasks' arrays, and a number for each bucket reaches the driver."""
+    ship_package(texts.sparkSession)
+
+    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.zeros(2 ** BITS + 1, dtype=np.int64)  # the last place counts texts
+        for b in text_slices(batches):
+            seen, last = np.zeros(2 ** BITS, dtype=bool), -1
+            for rows, buckets in _ngrams(list(b["text"])):
+                # text numbers never fall from piece to piece, so a text's marks are complete when a greater one comes
+                for r, part in zip(np.unique(rows).tolist(), _by_row(rows, buckets)):
+                    if r != last:
+                        held[:-1] += seen
+                        seen[:] = False
+                        held[-1] += 1
+                        last = r
+                    seen[part] = True
+            held[:-1] += seen
+        at = np.flatnonzero(held)
+        yield pd.DataFrame({"bucket": at, "n": held[at]})
+
+    got = texts.where("text is not null").mapInPandas(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    df = np.zeros(2 ** BITS + 1)
+    df[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(float)
+    return df[:-1], int(df[-1])
+
+
+def idf_of(df: np.ndarray, texts: int) -> np.ndarray:
+    return np.log((1 + texts) / (1 + df)) + 1
+
+
+def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
+    """The temperature of a grid from 0.05 to 20 under which the labels ``y`` are likeliest."""
+    tries = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
+    loss = [-np.mean(np.log(np.maximum(_softmax(logits / t)[np.arange(len(y)), y], 1e-12))) for t in tries]
+    return float(tries[int(np.argmin(loss))])
+
+
+def fit(sample: DataFrame, alpha: float = 0.5, frequencies: tuple[np.ndarray, int] | None = None) -> Model | None:
+    """``sample(text, lang)``, bounded, in a fixed order by ``nth`` -> the model; None if it has no letters.
+    ``frequencies`` come from :func:`document_frequencies`; without them those of the sample are taken."""
     ship_package(sample.sparkSession)
 
     def features(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -133,10 +174,12 @@ def fit(sample: DataFrame, alpha: float = 0.5) -> Model | None:
     languages = sorted({r["lang"] for r in got})
     y = np.array([languages.index(r["lang"]) for r in got])
     sparse = [(np.frombuffer(r["idx"], "<i4").astype(np.int64), np.frombuffer(r["cnt"], "<i4").astype(float)) for r in got]
-    df = np.zeros(2 ** BITS)
-    for idx, _ in sparse:
-        df[idx] += 1
-    idf = np.log((1 + len(sparse)) / (1 + df)) + 1
+    if frequencies is None:
+        df = np.zeros(2 ** BITS)
+        for idx, _ in sparse:
+            df[idx] += 1
+        frequencies = df, len(sparse)
+    idf = idf_of(*frequencies)
     rows = [(idx, SCALE * cnt / cnt.sum() * idf[idx]) for idx, cnt in sparse]
     held = np.arange(len(rows)) % 5 == 4
     train = [r for r, h in zip(rows, held) if not h]
@@ -145,9 +188,7 @@ def fit(sample: DataFrame, alpha: float = 0.5) -> Model | None:
     temperature = 1.0
     if check:
         logits = np.array([v @ w[i] + bias for i, v in check])
-        tries = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
-        loss = [-np.mean(np.log(np.maximum(_softmax(logits / t)[np.arange(len(check)), y[held]], 1e-12))) for t in tries]
-        temperature = float(tries[int(np.argmin(loss))])
+        temperature = best_temperature(logits, y[held])
     return Model(languages, np.ascontiguousarray((w * idf[:, None]).T), bias, temperature)
 
 
@@ -163,6 +204,10 @@ def training_sample(docs: DataFrame, usable: Column, per_language: int = 600, ma
     ids = docs.where(usable & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.min(lang_col).alias("lang"))
     order = [F.xxhash64("id", F.lit("langid")), F.col("id")]
+    # of a language with many rows only those with a small hash are ranked: four times as many as are taken
+    n = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.pmod(F.xxhash64("id", F.lit("langid-share")), F.lit(1 << 30)) / float(1 << 30)
+    ids = ids.join(F.broadcast(n), "lang").where((F.col("n") <= 8 * per_language) | (share < 4.0 * per_language / F.col("n"))).drop("n")
     own = ids.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= per_language)
     top = own.orderBy("r", *order).limit(max_sample)
     nth = top.withColumn("nth", F.row_number().over(Window.orderBy("r", *order)).cast("long")).drop("r")
@@ -202,5 +247,6 @@ def identify(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col:
 
     Repeated ids are one row of the sample and are predicted each; an empty table gives none.
     """
-    model = fit(training_sample(docs, usable, per_language, max_sample, id_col, text_col, lang_col))
+    learnable = docs.where(usable & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
+    model = fit(training_sample(docs, usable, per_language, max_sample, id_col, text_col, lang_col), frequencies=document_frequencies(learnable))
     return predict(docs, model, id_col, text_col)

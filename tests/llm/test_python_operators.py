@@ -252,6 +252,59 @@ def test_languages_on_held_out_rows(spark):
     assert L.identify(odd.limit(0), F.lit(True)).count() == 0
 
 
+def test_ftrl_with_elastic_net_equals_one_coordinate_at_a_time():
+    rng = np.random.default_rng(3)
+    k, alpha, beta, l1, l2 = 3, 0.5, 1.0, 0.05, 0.1
+    rows = [(np.sort(rng.choice(12, rng.integers(1, 5), replace=False)), None) for _ in range(40)]
+    rows = [(i, rng.random(len(i)) * 4) for i, _ in rows]
+    y = rng.integers(0, k, 40)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i, c):
+        if abs(z[i, c]) <= l1:
+            return 0.0
+        return -(z[i, c] - (l1 if z[i, c] > 0 else -l1)) / ((beta + n[i, c] ** 0.5) / alpha + l2)
+
+    for _ in range(2):
+        for (idx, val), label in zip(rows, y):
+            x = {**dict(zip(idx.tolist(), val.tolist())), "bias": 1.0}
+            e = [np.exp(sum(weight(i, c) * v for i, v in x.items())) for c in range(k)]
+            step = []
+            for c in range(k):
+                for i, v in x.items():
+                    g = (e[c] / sum(e) - (c == label)) * v
+                    step.append((i, c, g, ((n[i, c] + g * g) ** 0.5 - n[i, c] ** 0.5) / alpha, weight(i, c)))
+            for i, c, g, sigma, w in step:
+                z[i, c] += g - sigma * w
+                n[i, c] += g * g
+    w, bias = L.fit_ftrl(rows, y, k, alpha, beta, l1, l2, epochs=2)
+    assert np.allclose(bias, [weight("bias", c) for c in range(k)], atol=1e-10)
+    assert np.allclose(w[:12], [[weight(i, c) for c in range(k)] for i in range(12)], atol=1e-10)
+    strong, _ = L.fit_ftrl(rows, y, k, alpha, beta, 2.0, l2, epochs=2)
+    assert (strong == 0).sum() > (w == 0).sum()  # the net's first part empties weights, the second shrinks them
+    assert np.abs(L.fit_ftrl(rows, y, k, alpha, beta, l1, 5.0, epochs=2)[0]).sum() < np.abs(w).sum()
+
+
+def test_the_temperature_is_the_likeliest():
+    rng = np.random.default_rng(1)
+    true = rng.normal(size=(3000, 4)) * 2
+    p = np.exp(true) / np.exp(true).sum(axis=1, keepdims=True)
+    y = np.array([rng.choice(4, p=q) for q in p])
+    for blown in (0.25, 1.0, 6.0):
+        assert L.best_temperature(true * blown, y) == pytest.approx(blown, rel=0.12)
+
+
+def test_document_frequencies_cover_every_text(spark, monkeypatch):
+    texts = ["ab ab ba", "ab", None, "", "12 !", "x" * 5000, "ab ü"] * 3
+    monkeypatch.setattr(L, "SLAB", 7)  # a text may lie in many pieces; the workers keep the usual size
+    want = collections.Counter()
+    for t in texts:
+        want.update({int(b) for _, part in L._ngrams([t or ""]) for b in part})
+    df, n = L.document_frequencies(_docs(spark, [(i, t, "en") for i, t in enumerate(texts)]))
+    assert n == 12 and {int(i): int(df[i]) for i in np.flatnonzero(df)} == dict(want)
+    assert L.document_frequencies(_docs(spark, []))[1] == 0
+
+
 def _segments_brute(scores, drift, n):
     """Maximal segments by their definition: the best one, then those left and right of it."""
     s = [-drift] * n
