@@ -215,7 +215,7 @@ def links_within(members: DataFrame, details: DataFrame, threshold: float, slack
     main = sizes.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", F.col("label").alias("main"))).alias("m"))
     main = main.select("key", F.col("m.main").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / BLOCK).cast("int").alias("nu"),
                        F.ceil(F.col("all") / BLOCK).cast("int").alias("na"))
-    m = members.join(main, "key").withColumn("out", F.col("label") != F.col("main")).join(details, "node")
+    m = members.join(bounded_side(cut_lineage(main, "main")), "key").withColumn("out", F.col("label") != F.col("main")).join(details, "node")
     spot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rest = ["out", "node", "label", "bands", "sig", "cells"]
@@ -319,8 +319,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.8, rows: int = ROWS, band
     # pairs with a bucket's least member are done; where the others are in several classes, these are compared
     others = buckets.where("n > 2 and node <> lead").select("key", "node").join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = others.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = cut_lineage(others.join(mixed, "key"), "members")
+    mixed = cut_lineage(others.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key"), "mixed")
+    open_ = cut_lineage(others.join(bounded_side(mixed), "key"), "members")
     if not open_.isEmpty():
         cells = cells_of(named, open_.select(F.col("node").alias("id")).distinct())
         details = nodes.select("node", "bands", "sig").join(cells.withColumnRenamed("id", "node"), "node")

@@ -75,7 +75,7 @@ def label_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.col("id").eqNullSafe(keep).alias("kept"), F.col("dig").alias("text_sha256"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 128, hot_rows: int = 10_000,
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 128, hot_rows: int = 1_000,
                 digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
     """The rows of ``docs`` that stay, one for each group of equal texts, with all their columns, whatever their names.
 
