@@ -49,9 +49,10 @@ class Recent:
     def __init__(self, most: int):
         self.most, self.held, self.older = most, {}, {}
 
-    def missing(self, keys: set) -> list:
-        """The ``keys`` that must be worked out and put into ``held``; all others are there then."""
-        if len(self.held) > self.most:
+    def missing(self, keys: set, more: bool = False) -> list:
+        """The ``keys`` that must be worked out and put into ``held``; all others are there then. With ``more`` the keys of
+        the call before stay in ``held`` as well."""
+        if len(self.held) > self.most and not more:
             self.held, self.older = {}, self.held
         held, older, out = self.held, self.older, []
         for k in keys.difference(held):

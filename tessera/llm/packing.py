@@ -28,7 +28,7 @@ from tessera.session import cut_lineage, ship_package
 #: Lengths are rounded up to this many classes in the patterns.
 CLASSES = 128
 #: Encoded words and units a worker remembers, twice this at most.
-REMEMBERED = 250_000
+REMEMBERED = 700_000
 #: Characters that lower-casing and composition treat alike everywhere, and the tokenizer's units among them.
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f0-9]+")
@@ -50,7 +50,7 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.units, self.words = Recent(REMEMBERED), Recent(REMEMBERED)
+        self.words = Recent(REMEMBERED)  # and units, which as words are themselves
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -60,21 +60,25 @@ class WordEncoder:
         for at in range(0, len(units), 4096):
             part = units[at:at + 4096]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, of = np.asarray(e.ids, dtype="<u4"), np.asarray(e.word_ids, dtype=np.int64)
+            ids, of = np.asarray(e.ids, dtype="<u4").tobytes(), np.asarray(e.word_ids, dtype=np.int64)
             ends = np.searchsorted(of, np.arange(len(part)), "right")
             if len(of) and of[-1] == len(part) - 1 and (np.diff(ends, prepend=0) > 0).all():
-                self.units.held.update(zip(part, (x.tobytes() for x in np.split(ids, ends[:-1]))))
+                at = [0, *(4 * ends).tolist()]
+                self.words.held.update(zip(part, (ids[a:b] for a, b in zip(at, at[1:]))))
             else:
-                self.units.held.update((u, self._encode(u)) for u in part)
+                self.words.held.update((u, self._encode(u)) for u in part)
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if _RARE_SPACE.search(t) else t.split() for t in texts]
         new = self.words.missing(set().union(*(ws for ws in split if ws)))
-        cut = {w: _UNITS.findall(w.lower()) for w in new if _PLAIN.fullmatch(w) and "<|" not in w}
-        self._learn(self.units.missing(set().union(*cut.values())))
-        unit, words = self.units.held.__getitem__, self.words.held
-        for w in new:
-            words[w] = b"".join(map(unit, cut[w])) if w in cut else self._encode(w)
+        # a word of small ASCII letters is one unit, as most are; only the others are looked at more closely
+        whole = {w for w in new if w.islower() and w.isascii() and w.isalpha()}
+        cut = {w: _UNITS.findall(w.lower()) for w in new if w not in whole and _PLAIN.fullmatch(w) and "<|" not in w}
+        self._learn([*whole, *self.words.missing(set().union(*cut.values()) - whole, more=True)])
+        words = self.words.held
+        unit = words.__getitem__
+        words.update([(w, b"".join(map(unit, us))) for w, us in cut.items()])
+        words.update((w, self._encode(w)) for w in new if w not in words)
         word = words.__getitem__
         for t, ws in zip(texts, split):
             yield self._encode(t) if ws is None else b"".join(map(word, ws))
@@ -106,8 +110,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
                     rows.append((doc, piece, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]), task, seen[n]))
                     seen[n] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "_p", "_i"])
-        for memory in (encode.units, encode.words):
-            memory.rest()
+        encode.words.rest(REMEMBERED // 2)
 
     # ids travel as text, for which null is an ordinary value in pandas
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
