@@ -1,6 +1,8 @@
 """The training corpus pipeline: toxicity, exact dedup, near-dedup, mixing, packing.
 
-Each stage takes what its predecessor kept and, but for the last, returns the columns of ``documents``.
+Null texts count as empty, and rows without an id stay what they are: the stages pass on all columns of ``documents`` and
+any others, whatever their names. Rows that repeat an id are one document to near-dedup, and copies to exact dedup if
+their texts are equal. An empty table gives an empty result. Each stage takes what its predecessor kept and, but for the last, returns the columns of ``documents``.
 Toxic documents go; of equal texts and of each class of near copies one document stays; the mix takes each
 source to its target, so a document may be left out or stand there up to three times; packing returns a row
 for each piece of each document that the mix holds. No SQL form: the stages learn, hash and tokenise.
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import dart_minhash, exact_dedup, mixing, packing, toxicity
 from tessera.llm.common import read_table
 from tessera.llm.queries import tokenizer_path, toxicity_model
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, delete_paths, stored_copies
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each one returns is written as Parquet and read again."""
+    """All stages over ``documents``; what each one returns is written as Parquet and read again. What a stage stored for
+    itself, and the result before it, are deleted once its own result is written."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/tessera-pipeline/{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        with stored_copies() as own:
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        delete_paths(spark, [*own, *before])
+        before = [f"{base}/{name}"]
         docs = spark.read.parquet(f"{base}/{name}")
     return docs

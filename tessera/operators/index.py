@@ -205,11 +205,13 @@ class Bm25Index:
     postings: (term, chunk_id, tf, dl) -- one row per distinct term of a passage
     terms:    (term, df, idf)
     avgdl:    scalar-subquery column (evaluated once, broadcast as a literal)
+    n_docs:   number of passages, likewise
     """
 
     postings: DataFrame
     terms: DataFrame
     avgdl: Column
+    n_docs: Column
     k1: float
     b: float
 
@@ -256,7 +258,7 @@ def bm25_index(passages: DataFrame, id_col: str = "chunk_id", text_col: str = "t
     if materialize:
         df_t = cut_lineage(df_t, "terms", folder and f"{folder}/terms")
     mean_idf = df_t.select(F.avg("raw_idf")).scalar()
-    return Bm25Index(postings=postings, terms=_weighted_terms(df_t, mean_idf, epsilon), avgdl=avgdl, k1=k1, b=b)
+    return Bm25Index(postings=postings, terms=_weighted_terms(df_t, mean_idf, epsilon), avgdl=avgdl, n_docs=n_docs, k1=k1, b=b)
 
 
 def _weighted_terms(df_t: DataFrame, mean_idf: Column, epsilon: float) -> DataFrame:
@@ -283,7 +285,7 @@ def open_bm25(spark, folder: str, constants: dict, k1: float = 1.5, b: float = 0
     literal = lambda x: F.lit(x).cast("double")
     terms = _weighted_terms(spark.read.parquet(f"{folder}/terms"), literal(constants["mean_idf"]), epsilon)
     return Bm25Index(postings=grouped.where(F.col("tf") > 0).select("term", "chunk_id", "dl", "tf"), terms=terms,
-                     avgdl=literal(constants["avgdl"]), k1=k1, b=b)
+                     avgdl=literal(constants["avgdl"]), n_docs=literal(constants["n"]), k1=k1, b=b)
 
 
 def bm25_term_weight(idx: Bm25Index) -> Column:

@@ -228,10 +228,23 @@ def _bigrams(t: Column) -> Column:
                        lambda i: F.concat_ws(" ", F.try_element_at(t, i), F.try_element_at(t, i + 1)))
 
 
+def question_weights(queries: DataFrame, idx: Bm25Index, text_col: str = "question") -> DataFrame:
+    """``query_id, weights``: the distinct case-folded terms of each question with ``ln(1 + (N - df + 0.5) / (df + 0.5))``,
+    where df adds up the spellings of the index (N at most; 0 for a term that no passage has)."""
+    qt = queries.select("query_id", F.explode(F.array_distinct(tokens(F.lower(F.col(text_col))))).alias("term"))
+    asked = F.broadcast(qt.select(F.col("term").alias("folded")).distinct()) if fits(qt, BROADCAST_ROWS) else qt.select(F.col("term").alias("folded")).distinct()
+    df = (idx.terms.select(F.lower("term").alias("folded"), "df").join(asked, "folded")
+          .groupBy(F.col("folded").alias("term")).agg(F.sum("df").alias("df")))
+    n = F.least(F.coalesce("df", F.lit(0)).cast("double"), idx.n_docs)
+    w = qt.join(df, "term", "left").select("query_id", "term", F.ln(1 + (idx.n_docs - n + 0.5) / (n + 0.5)).alias("w"))
+    return w.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("term", "w"))).alias("weights"))  # terms of one question
+
+
 def overlap_scores(pairs: DataFrame, q_col: str, p_col: str, out: str = "score") -> DataFrame:
     """Default pair scorer (R6 plug point, DataFrame -> DataFrame): mean of
     query-term coverage and query-bigram coverage, case-folded, over distinct
-    terms / adjacent pairs. Pure SQL (no Python).
+    terms / adjacent pairs. Terms count by the ``weights`` column where there is one (see
+    :func:`question_weights`), else alike. Pure SQL (no Python).
 
     The passage is normalised once per pair into `` t1 t2 ... tn `` (whitespace
     runs become one space), kept as a column: terms are matched with a hash
@@ -244,24 +257,33 @@ def overlap_scores(pairs: DataFrame, q_col: str, p_col: str, out: str = "score")
          .withColumn("_qt", tokens(F.lower(F.col(q_col)))))
     d = d.withColumn("_qd", F.array_distinct("_qt")).withColumn(
         "_qb", F.array_distinct(F.when(F.size("_qt") > 1, _bigrams(F.col("_qt"))).otherwise(empty)))
-    terms = F.size(F.array_intersect("_qd", F.split("_pn", " ")))
+    has = F.array_intersect("_qd", F.split("_pn", " "))
     pairs_hit = F.size(F.filter("_qb", lambda b: F.col("_pn").contains(F.concat(F.lit(" "), b, F.lit(" ")))))
-    cov = F.when(F.size("_qd") > 0, terms / F.size("_qd")).otherwise(F.lit(0.0))
+    if "weights" in pairs.columns:
+        sum_of = lambda ws: F.aggregate(ws, F.lit(0.0).cast("double"), lambda a, x: a + x["w"])
+        d = d.withColumn("_has", has)
+        met = sum_of(F.filter("weights", lambda x: F.array_contains("_has", x["term"])))
+        cov = F.when(F.size("weights") > 0, met / sum_of(F.col("weights"))).otherwise(F.lit(0.0))
+    else:
+        cov = F.when(F.size("_qd") > 0, F.size(has) / F.size("_qd")).otherwise(F.lit(0.0))
     bcov = F.when(F.size("_qb") > 0, pairs_hit / F.size("_qb")).otherwise(F.lit(0.0))
-    return d.withColumn(out, ((cov + bcov) / 2.0).cast("double")).drop("_pn", "_qt", "_qd", "_qb")
+    return d.withColumn(out, ((F.coalesce(cov, F.lit(0.0)) + bcov) / 2.0).cast("double")).drop("_pn", "_qt", "_qd", "_qb", "_has")
 
 
 def rerank(candidates: DataFrame, queries: DataFrame, passages: DataFrame, top_n: int = 5,
-           scorer=overlap_scores, text_col: str = "question") -> DataFrame:
+           scorer=overlap_scores, text_col: str = "question", weights: DataFrame | None = None) -> DataFrame:
     """Re-score fetched candidates ``(query_id, rank, chunk_id)`` and keep top_n.
 
     ``scorer(pairs, question_col, passage_col) -> pairs + score`` is the plug
     point (a cross-encoder would run there as an Arrow-batched UDF). Only
     fetched candidates are scored; ties keep the fetched order. Text is joined
-    in for the candidates only.
+    in for the candidates only. ``weights`` (:func:`question_weights`) go to the scorer with the questions.
     """
     cand = candidates.select("query_id", F.col("rank").alias("fetch_rank"), "chunk_id")
-    c = attach_text(cand, passages).join(queries.select("query_id", text_col), "query_id")
+    asked = queries.select("query_id", text_col)
+    if weights is not None:
+        asked = asked.join(weights, "query_id", "left")
+    c = attach_text(cand, passages).join(asked, "query_id")
     c = scorer(c, text_col, "text")
     order = [F.round("score", RANK_DIGITS).desc(), F.col("fetch_rank").asc()]
     return rank_within(c, ["query_id"], order, top_n).select("query_id", "rank", "chunk_id", "score")
@@ -315,7 +337,7 @@ def retrieve(queries: DataFrame, passages: DataFrame, method: str, k: int = 10,
     fused = rrf_fuse([d, b], [dense_weight, 1.0 - dense_weight], k if method == "hybrid" else 2 * per_list)
     if method == "hybrid":
         return fused
-    return rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k)
+    return rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k, weights=question_weights(queries, bm25))
 
 
 def with_sources(ranked: DataFrame, passages: DataFrame) -> DataFrame:
@@ -339,14 +361,15 @@ def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k
     emb = embedder or HashedEmbedder()
     if index is not None:
         index.check_aligned()
-    lists = {}
+    lists, bm25 = {}, None
     if set(methods) & {"dense", "hybrid", "hybrid_rerank"}:
         pv = index.vectors if index is not None else cut_lineage(
             emb.embed(passages.select("chunk_id", "text"), "text", "passage").select("chunk_id", "vec"))
         qv = emb.embed(queries.select("query_id", "question"), "question", "query").select("query_id", "vec")
         lists["dense"] = dense_topk(qv, pv, depth)
     if set(methods) & {"bm25", "hybrid", "hybrid_rerank"}:
-        lists["bm25"] = bm25_topk(queries, bm25_index(passages) if index is None else index.bm25, depth)
+        bm25 = bm25_index(passages) if index is None else index.bm25
+        lists["bm25"] = bm25_topk(queries, bm25, depth)
     lists = dict(zip(lists, keyed_lists(list(lists.values()), passages if index is None else index.keys)))
     out = {}
     cut = lambda df, n: df.where(F.col("rank") <= n)
@@ -358,5 +381,5 @@ def retrieve_many(queries: DataFrame, passages: DataFrame, methods: list[str], k
         else:
             fused = rrf_fuse([cut(lists["dense"], fetch_k), cut(lists["bm25"], fetch_k)],
                              [dense_weight, 1.0 - dense_weight], 2 * fetch_k)
-            out[m] = rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k)
+            out[m] = rerank(cut_lineage(fused, "fused"), queries, passages, top_n=k, weights=question_weights(queries, bm25))
     return out

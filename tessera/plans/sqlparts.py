@@ -89,17 +89,24 @@ def _bigrams(t: str) -> str:
 
 
 def rerank(name: str, cand: str, top_n: int) -> str:
-    """Default pair scorer twin: mean of term and bigram coverage (case-folded, distinct)."""
+    """Default pair scorer twin: mean of IDF-weighted term coverage and bigram coverage (case-folded, distinct).
+    The document frequencies are those of :func:`bm25`, added up over spellings."""
     return f"""
-{name}_t AS (SELECT c.query_id, c.chunk_id, c.rank AS fetch_rank,
+{name}_q AS (SELECT query_id, unnest(list_distinct({tokens('lower(question)')})) AS term FROM questions),
+{name}_n AS (SELECT w.query_id, w.term, least(coalesce(sum(d.df), 0)::DOUBLE, (SELECT n FROM dstats)) AS df
+             FROM {name}_q w LEFT JOIN dft d ON lower(d.term) = w.term GROUP BY w.query_id, w.term),
+{name}_w AS (SELECT query_id, list({{'t': term, 'w': ln(1 + ((SELECT n FROM dstats) - df + 0.5) / (df + 0.5))}} ORDER BY term) AS ws
+             FROM {name}_n GROUP BY query_id),
+{name}_t AS (SELECT c.query_id, c.chunk_id, c.rank AS fetch_rank, w.ws,
                     {tokens('lower(q.question)')} AS qt0,
                     ' ' || array_to_string({tokens('lower(p.text)')}, ' ') || ' ' AS pn
-             FROM {cand} c JOIN questions q USING (query_id) JOIN passages p USING (chunk_id)),
-{name}_s AS (SELECT query_id, chunk_id, fetch_rank, pn, list_distinct(qt0) AS qd,
+             FROM {cand} c JOIN questions q USING (query_id) JOIN passages p USING (chunk_id) LEFT JOIN {name}_w w USING (query_id)),
+{name}_s AS (SELECT query_id, chunk_id, fetch_rank, pn, ws,
                     CASE WHEN len(qt0) > 1 THEN list_distinct({_bigrams('qt0')}) ELSE [] END AS qb
              FROM {name}_t),
 {name}_sc AS (SELECT query_id, chunk_id, fetch_rank,
-                     ((CASE WHEN len(qd) > 0 THEN len(list_filter(qd, lambda t: contains(pn, ' ' || t || ' '))) / len(qd) ELSE 0.0 END) +
+                     (coalesce(CASE WHEN len(ws) > 0 THEN coalesce(list_sum(list_transform(list_filter(ws, lambda x: contains(pn, ' ' || x.t || ' ')), lambda x: x.w)), 0)
+                                                         / list_sum(list_transform(ws, lambda x: x.w)) END, 0.0) +
                       (CASE WHEN len(qb) > 0 THEN len(list_filter(qb, lambda t: contains(pn, ' ' || t || ' '))) / len(qb) ELSE 0.0 END)) / 2.0 AS score
               FROM {name}_s),
 {name} AS (SELECT * FROM (SELECT query_id, chunk_id, score,

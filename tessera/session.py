@@ -140,9 +140,15 @@ def key_buckets(spark: SparkSession) -> int:
     return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int, max_bytes: int = 128 << 20) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of at most ``max_bytes`` in all; reads at most max_rows+1. Texts count
+    by their bytes, other values as 8."""
+    from pyspark.sql import functions as F
+
+    wide = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if f.dataType.typeName() in ("string", "binary")]
+    row = sum(wide, F.lit(8 * len(df.columns)))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(row), F.lit(0))).first()
+    return n <= max_rows and size <= max_bytes
 
 
 _SHIPPED: set = set()

@@ -36,9 +36,10 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     there are task slots (a file written as one row group is read by one task).
     Hash on a unique id when there is one (no skew, no sort needed for a
     deterministic retry), else round-robin. A scan that already has enough
-    splits is returned untouched, so at scale this adds no shuffle."""
+    splits is returned untouched, so at scale this adds no shuffle; on a large
+    cluster 64 splits are enough, whatever the number of slots."""
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    if df.rdd.getNumPartitions() >= min(slots, 64):
         return df
     return df.repartition(slots, key) if key else df.repartition(slots)
 

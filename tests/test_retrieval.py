@@ -115,3 +115,33 @@ def test_content_keys_are_those_of_the_texts(spark, corpus):
     want = {r.chunk_id: r.h for r in d.select("chunk_id", F.xxhash64("text").alias("h")).collect()}
     assert {(r.chunk_id, r.content_key) for r in one.collect()} == {(i, want[i]) for i in (1, 3)}
     assert [(r.chunk_id, r.content_key) for r in two.collect()] == [(3, want[3])]
+
+
+def test_rerank_weighs_terms_by_their_index(spark):
+    docs = [(1, "The rare thing and the end"), (2, "the and the and of the"), (3, "THE rare"), (4, "of the end"), (5, "")]
+    d = spark.createDataFrame(docs, "chunk_id long, text string")
+    q = spark.createDataFrame([(10, "The RARE of"), (11, "zzz the"), (12, "")], "query_id long, question string")
+    idx = bm25_index(d)
+    from tessera.operators.retrieve import question_weights
+
+    low = {i: t.lower().split() for i, t in docs}
+    spellings = {}
+    for _, t in docs:
+        for w in set(t.split()):
+            spellings.setdefault(w.lower(), {}).setdefault(w, 0)
+            spellings[w.lower()][w] += 1
+
+    def weight(term):
+        df = min(sum(spellings.get(term, {}).values()), len(docs))
+        return math.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
+
+    cand = spark.createDataFrame([(qid, i, i) for qid in (10, 11, 12) for i, _ in docs], "query_id long, rank int, chunk_id long")
+    got = {(r.query_id, r.chunk_id): r.score for r in rerank(cand, q, d, top_n=5, weights=question_weights(q, idx)).collect()}
+    for qid, text in ((10, "the rare of"), (11, "zzz the"), (12, "")):
+        terms = text.split()
+        pairs = list(dict.fromkeys(zip(terms, terms[1:])))
+        for i, _ in docs:
+            cov = sum(weight(t) for t in set(terms) if t in low[i]) / sum(weight(t) for t in set(terms)) if terms else 0.0
+            hit = sum(p in list(zip(low[i], low[i][1:])) for p in pairs) / len(pairs) if pairs else 0.0
+            assert got[qid, i] == pytest.approx((cov + hit) / 2), (qid, i)
+    assert got[10, 3] > got[10, 2]  # the rare term outweighs the common ones
