@@ -15,6 +15,7 @@ from tessera.llm import common as C
 from tessera.llm import dart_minhash as D
 from tessera.llm import exact_dedup as E
 from tessera.llm import mixing as M
+from tessera.session import checkpoint_dir
 
 #: Names that the stages use or have used for their own columns.
 HELPERS = ["_dig", "_id", "_n", "_copy", "_src", "_size", "_all", "_rows", "_times", "gone_id", "place", "copy_dig", "COPY_NORM", "copy_rank", "copy_nth",
@@ -132,3 +133,45 @@ def test_slices_and_memories_are_bounded():
         memory.held.update((k, -k) for k in new)
         assert all(memory.held[k] == -k for k in keys) and len(memory.held) + len(memory.older) <= 120
     assert worked == 2  # what comes again and again is kept
+
+
+def _tables(spark, rows, tmp_path):
+    """A folder with ``documents`` and ``labels`` as the pipeline reads them."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.createDataFrame([(r[0], 1, int("awful" in (r[1] or ""))) for r in rows], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def _stored(spark):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(checkpoint_dir(spark))
+    return {r.path for r in files.select("path").collect() if "/tessera-tables/" in r.path or "/tessera-pipeline/" in r.path}
+
+
+def test_the_pipeline_takes_nulls_repeated_rows_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(40)) + (" awful awful words" if i % 7 == 0 else ""), "en", f"s{i % 3}", 1) for i in range(300)]
+    rows += [(400, None, None, None, None), (401, "", "en", "s1", 0), (None, "no id at all here", "en", None, 4), rows[1], (402, rows[2][1] + " ", "en", "s1", 1)]
+    sf = _tables(spark, rows, tmp_path / "a")
+    spark.range(1).write.mode("overwrite").parquet(f"{checkpoint_dir(spark)}/tessera-tables/some")
+    before = _stored(spark)
+    packed = P.run(spark, sf).collect()
+    left = _stored(spark) - before  # nothing but the result
+    assert left and all("/tessera-pipeline/" in p and "/packing/" in p for p in left)
+    ids = {r.doc_id for r in packed}
+    assert {1, 400} <= ids | {400, 401} and not ids & {i for i in range(300) if i % 7 == 0 and i % 5}  # those that the labels teach
+    assert len(ids & {2, 402}) <= 1
+    by_sequence = {}
+    for r in packed:
+        by_sequence.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by_sequence.values():
+        at = 0
+        for offset, n in sorted(places):
+            assert offset == at
+            at += n
+        assert at <= 2048
+    empty = _tables(spark, [], tmp_path / "b")
+    assert P.run(spark, empty).count() == 0
