@@ -133,13 +133,15 @@ def build_cells(vectors: DataFrame, path: str, cells: int | None = None, sample_
     ids = 0
     for r in about:
         ids ^= r["h"]
-    return {"n": sum(r["n"] for r in about), "ids": ids, "centroids": [[float(x) for x in c] for c in centroids],
-            "sizes": {str(r["cell"]): r["n"] for r in about}, "probes": probes_needed(sample, centroids, recall), "schema": v.schema.jsonValue()}
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
+    spark.createDataFrame(rows, "cell int, vec array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/centroids")
+    return {"n": sum(r["n"] for r in about), "ids": ids, "cells": len(centroids), "sizes": {str(r["cell"]): r["n"] for r in about}, "probes": probes_needed(sample, centroids, recall), "schema": v.schema.jsonValue()}
 
 
 def open_cells(spark, path: str, about: dict) -> CellIndex:
     schema = T.StructType.fromJson(about["schema"]).add("cell", T.IntegerType())
-    return CellIndex(spark.read.schema(schema).parquet(f"{path}/vectors"), np.asarray(about["centroids"], dtype=float),
+    rows = sorted(spark.read.parquet(f"{path}/centroids").collect())  # at most MAX_CELLS
+    return CellIndex(spark.read.schema(schema).parquet(f"{path}/vectors"), np.array([r["vec"] for r in rows], dtype=float),
                      {int(c): n for c, n in about["sizes"].items()}, about["probes"])
 
 
