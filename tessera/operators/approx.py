@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.retrieve import _matrix, _score_order, _tile_topk, rank_within
+from tessera.operators.retrieve import RANK_DIGITS, _matrix, _score_order, _tile_topk, rank_within
 from tessera.session import cut_lineage
 
 #: Vectors that the centroids are fitted on, at most so many and of at most so many bytes.
@@ -28,6 +28,8 @@ MAX_CELLS = 4096
 ROUNDS = 12
 #: Vectors of a cell, and queries that ask it, which meet in one group of the shuffle route.
 PART_ROWS = 20_000
+#: Rows beyond twice the best ones that a task gathers before it drops the others.
+HELD_ROWS = 200_000
 #: Share of the neighbours that a query should find, measured with so many queries and neighbours of the sample.
 RECALL, TRIED, NEIGHBOURS = 0.95, 300, 10
 
@@ -167,6 +169,13 @@ def approx_topk(queries: DataFrame, index: CellIndex, k: int = 10, probes: int |
     return rank_within(cand, ["query_id"], _score_order(), k).select("query_id", "rank", "chunk_id", "score")
 
 
+def best_of(parts: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The best ``k`` rows of each query in ``parts``, ties to the smaller id."""
+    d = pd.concat(parts, ignore_index=True)
+    d["_r"] = d["score"].round(RANK_DIGITS)
+    return d.sort_values(["query_id", "_r", "chunk_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k).drop(columns="_r")
+
+
 def _stream_cells(queries: DataFrame, index: CellIndex, k: int, probes: int, schema: T.StructType) -> DataFrame:
     head = queries.toPandas()  # at most block_bytes of vectors
     q_ids = head["query_id"].to_numpy()
@@ -177,11 +186,21 @@ def _stream_cells(queries: DataFrame, index: CellIndex, k: int, probes: int, sch
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, m, by_cell = shared.value
+        held: list[pd.DataFrame] = []
+        size = 0
         for b in batches:
             for cell, own in b.groupby("cell", sort=False):
                 rows = by_cell.get(int(cell))
-                if rows is not None:
-                    yield from _tile_topk(ids[rows], m[rows], own["chunk_id"].to_numpy(), _matrix(own["vec"]), k)
+                if rows is None:
+                    continue
+                for part in _tile_topk(ids[rows], m[rows], own["chunk_id"].to_numpy(), _matrix(own["vec"]), k):
+                    held.append(part)
+                    size += len(part)
+                    if size > HELD_ROWS + 2 * k * len(ids):
+                        held = [best_of(held, k)]
+                        size = len(held[0])
+        if held:
+            yield best_of(held, k)
 
     return index.vectors.where(F.col("cell").isin(sorted(asked))).mapInPandas(run, schema)
 
