@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +100,21 @@ def test_dense_topk_with_zero_vectors_and_duplicates(spark, block_bytes):
     assert sorted((r.query_id, r["rank"], r.chunk_id) for r in got.collect()) == _brute_topk(q, c, 5)
 
 
+def test_dense_topk_of_a_table_with_itself_in_blocks(spark):
+    """Queries and corpus are the same rows: both routes give the brute-force neighbours."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[40:80] = x[0]
+    v = spark.createDataFrame([(i, [float(y) for y in r]) for i, r in enumerate(x)], "id long, vec array<double>")
+    q, c = v.select(F.col("id").alias("query_id"), "vec"), v.select(F.col("id").alias("chunk_id"), "vec")
+    r = np.round(x @ x.T, 9)
+    want = {(i, n + 1, int(j)) for i in range(300) for n, j in enumerate(np.lexsort((np.arange(300), -r[i]))[:7])}
+    for kw in ({}, {"block_bytes": 4096}, {"block_rows": 10}):
+        got = [(g.query_id, g.rank, g.chunk_id) for g in dense_topk(q, c, 7, **kw).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
 def test_dense_topk_of_empty_sides(spark):
     q = spark.createDataFrame([(1, [1.0])], "query_id long, vec array<double>")
     c = spark.createDataFrame([], "chunk_id long, vec array<double>")
