@@ -192,3 +192,21 @@ def test_a_plain_bm25_index_still_builds_without_a_folder(spark):
     q = spark.createDataFrame([(1, "banana cherry"), (2, "none")], "query_id long, question string")
     a, b = (sorted(map(tuple, R.bm25_topk(q, i, 3).withColumn("score", F.round("score", 9)).collect())) for i in (stored, bm25_index(d)))
     assert a == b and len(a) == 3
+
+
+def test_sample_is_the_rows_of_least_hashes_and_few_are_sorted(spark):
+    from tessera.operators import approx as A
+
+    v = spark.range(0, 4000, numPartitions=8).select(F.col("id").alias("chunk_id"), F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vec"))
+    want = [r.chunk_id for r in v.orderBy(F.xxhash64("chunk_id"), "chunk_id").limit(300).collect()]
+    assert A.sample_of(v, 300)[:, 0].astype(int).tolist() == want
+    same = v.withColumn("chunk_id", F.lit(5).cast("long"))  # one id throughout: hashes say nothing
+    assert A.sample_of(same, 300).shape == (300, 2)
+
+
+def test_nearest_centroid_is_the_first_of_the_best():
+    from tessera.operators import approx as A
+
+    x, c = np.random.default_rng(2).normal(size=(50, 4)), np.random.default_rng(3).normal(size=(9, 4))
+    near, score = A.nearest(x, np.vstack([c, c]), 1)
+    assert (near[:, 0] == (x @ c.T).argmax(axis=1)).all() and np.allclose(score[:, 0], (x @ c.T).max(axis=1))
