@@ -63,3 +63,19 @@ def test_event_log_counts_late_rows_from_a_folder_of_files(spark, tmp_path):
     X.append_log(X.event_projection(X.file_stream(spark, path, X.EVENT_SCHEMA)), str(tmp_path / "log"), str(tmp_path / "ckpt"))
     r = X.run_summaries(spark.read.parquet(str(tmp_path / "log")).dropDuplicates(["event_id", "type"])).first()
     assert r.n_tool_calls == 40
+
+
+def test_quantiles_of_equal_and_weighted_rows_read_their_input_once(spark):
+    """Values are counted in one pass, so what makes the rows runs once; a weight counts like so many rows."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(len(b))
+            yield b
+
+    d = spark.createDataFrame([("a", float(i % 3)) for i in range(31)] + [(None, 7.0)] * 4 + [("b", None)], "g string, v double").mapInPandas(count, "g string, v double")
+    got = {r.g: (r.n, r.m25, r.m50) for r in exact_quantiles(d, ["g"], "v", [0.25, 0.5], prefix="m").collect()}
+    assert got == {"a": (31, 0.0, 1.0), None: (4, 7.0, 7.0)} and runs.value == 36
+    w = spark.createDataFrame([("a", 0, 11), ("a", 1, 9), ("a", 2, 12), ("a", 5, 0)], "g string, v int, c long")
+    assert [(r.n, r.m50) for r in exact_quantiles(w, ["g"], "v", [0.5], prefix="m", weight="c").collect()] == [(32, 1.0)]
