@@ -27,8 +27,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.text import override
+from tessera.functions.text import override, text_runs
 from tessera.operators.index import HashedEmbedder
+from tessera.session import cut_lineage
 
 # Defaults of the reference configuration.
 CHUNK_SIZE = 1000
@@ -126,14 +127,23 @@ def fixed_split(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
     return out
 
 
-def _split_udf(kind: str, size: int, overlap: int):
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        if kind == "fixed":
-            return texts.map(lambda t: fixed_split(t or "", size, overlap))
-        return texts.map(lambda t: recursive_split(t or "", size, overlap))
+def _per_text(cutter, kind: T.DataType):
+    """A column function that gives each text to what ``cutter()`` returns, once a task. Batches are worked off and handed
+    on in runs of bounded size, so a worker never holds the pieces of a whole batch."""
+
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cut = cutter()
+        for b in batches:
+            for texts in text_runs(b.tolist()):
+                yield pd.Series([cut(t) for t in texts], dtype=object)
+
+    return run
 
-    return split
+
+def _split_udf(kind: str, size: int, overlap: int):
+    split = fixed_split if kind == "fixed" else recursive_split
+    return _per_text(lambda: lambda t: split(t or "", size, overlap), T.ArrayType(T.StringType()))
 
 
 # --------------------------------------------------------------------------- K12 / framing
@@ -219,15 +229,11 @@ def markdown_sections(text: str) -> list[tuple[str, list[str | None]]]:
 def _markdown_udf(size: int, overlap: int):
     one = T.StructType([T.StructField("text", T.StringType()), *[T.StructField(h, T.StringType()) for _, h in HEADERS]])
 
-    @F.pandas_udf(T.ArrayType(one))
-    def cut(texts: pd.Series) -> pd.Series:
-        def pieces(t: str | None) -> list[dict]:
-            return [{"text": p, "h1": h[0], "h2": h[1], "h3": h[2], "h4": h[3]}
-                    for text, h in markdown_sections(t or "") for p in recursive_split(text, size, overlap)]
-
-        return texts.map(pieces)
+    def pieces(t: str | None) -> list[dict]:
+        return [{"text": p, "h1": h[0], "h2": h[1], "h3": h[2], "h4": h[3]}
+                for text, h in markdown_sections(t or "") for p in recursive_split(text, size, overlap)]
 
-    return cut
+    return _per_text(lambda: pieces, T.ArrayType(one))
 
 
 def chunk_markdown(docs: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
@@ -291,12 +297,11 @@ def chunk_semantic(docs: DataFrame, embedder=None, percentile: float = SEMANTIC_
     chunks are sentences joined by a space. A null document has none."""
     vectors_of = (embedder or HashedEmbedder()).vectors
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def cutter():
         vectors = vectors_of()
-        for texts in batches:
-            yield texts.map(lambda t: [] if t is None else semantic_split(t, vectors, percentile))
+        return lambda t: [] if t is None else semantic_split(t, vectors, percentile)
 
+    split = _per_text(cutter, T.ArrayType(T.StringType()))
     return _frame(_docs(docs), "semantic", split(F.col("page_content")))
 
 
@@ -322,9 +327,11 @@ def chunk_stats(chunks: DataFrame, strategies: list[str]) -> DataFrame:
     with no chunks reports zeros. The median is exact and distributed."""
     from tessera.functions.quantiles import exact_quantiles
 
-    lens = chunks.select("strategy", F.length("page_content").alias("len"))
-    basic = lens.groupBy("strategy").agg(F.avg("len").alias("mean"), F.min("len").alias("min"), F.max("len").alias("max"))
-    med = exact_quantiles(lens, ["strategy"], "len", [0.5], prefix="median")
+    # the chunks are made once; the figures need how many there are of each length
+    lens = chunks.groupBy("strategy", F.length("page_content").alias("len")).agg(F.count(F.lit(1)).alias("c"))
+    lens = cut_lineage(lens.where("len is not null"), "lengths")
+    basic = lens.groupBy("strategy").agg((F.sum(F.col("len") * F.col("c")) / F.sum("c")).alias("mean"), F.min("len").alias("min"), F.max("len").alias("max"))
+    med = exact_quantiles(lens, ["strategy"], "len", [0.5], prefix="median", weight="c")
     spark = chunks.sparkSession
     names = spark.createDataFrame([(s,) for s in strategies], "strategy string")
     return (names.join(med, "strategy", "left").join(basic, "strategy", "left")

@@ -166,3 +166,41 @@ def test_instructions_go_to_queries_of_their_family_only(spark):
     d = spark.createDataFrame([(1, "abc")], "id long, text string")
     p, q = (emb.embed(d, "text", side).first().vec for side in ("passage", "query"))
     assert p[0] / p[1] == pytest.approx(3) and q[0] / q[1] > 40
+
+
+def test_chunk_stats_cuts_each_text_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(len(b))
+            yield b
+
+    c = spark.createDataFrame([("fixed", "a" * n) for n in (3, 5, 5, 9)] + [("fixed", None)], "strategy string, page_content string")
+    r = {x["strategy"]: tuple(x)[1:] for x in K.chunk_stats(c.mapInPandas(count, c.schema), ["fixed", "semantic"]).collect()}
+    assert r == {"fixed": (4, 5.5, 5.0, 3, 9), "semantic": (0, 0.0, 0.0, 0, 0)} and runs.value == 5
+
+
+def test_workers_hand_on_pieces_in_bounded_runs():
+    from tessera.functions.text import text_runs
+
+    texts = ["x" * 10, None, "y" * 95, "z" * 6, "", "w" * 500, "v"]
+    runs = list(text_runs(texts, rows=3, chars=100))
+    assert [t for r in runs for t in r] == texts
+    assert all(len(r) <= 3 and (len(r) == 1 or sum(len(t or "") for t in r) <= 100) for r in runs)
+    assert list(text_runs([])) == []
+
+
+def test_embedding_and_cutting_keep_to_runs(spark, monkeypatch):
+    """An Arrow batch of many texts goes through in runs, and rows keep their own results."""
+    from tessera.operators.index import HashedEmbedder, hashed_vectors
+
+    texts = [f"w{i} common. more words here. " * (i % 7) for i in range(1500)]
+    d = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "source_path string, page_content string").coalesce(1)
+    got = {int(r.source_path): r.vec for r in HashedEmbedder(dim=16).embed(d, "page_content").collect()}
+    want = hashed_vectors(texts, 16)
+    assert len(got) == 1500 and all(got[i] == [float(x) for x in want[i]] for i in range(1500))
+    plan = HashedEmbedder(dim=16).embed(d, "page_content")._jdf.queryExecution().executedPlan().toString()
+    assert ", 204]" in plan or "204" in plan  # an iterator of batches, so that runs are handed on
+    cut = {r.source_path: r.n for r in K.chunk_recursive(d).groupBy("source_path").agg(F.count("*").alias("n")).collect()}
+    assert cut == {str(i): len(K.recursive_split(t)) for i, t in enumerate(texts) if K.recursive_split(t)}
