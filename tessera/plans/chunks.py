@@ -14,7 +14,7 @@ from tessera.operators.index import HashedEmbedder, index_summary, open_index, w
 from tessera.operators.retrieve import bm25_topk
 from tessera.operators.stored import build_index, files_state
 from tessera.plans.retrieval import index_folder
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, cut_lineage
 from tessera.sources.driver import doc_corpus, questions, table
 
 STRATEGIES = ["fixed", "recursive", "markdown", "semantic"]
@@ -56,8 +56,8 @@ def q_chunk_semantic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_chunks(spark: SparkSession, sf: str) -> DataFrame:
-    """K6: documents and pages under all four strategies."""
-    return K.chunk_all(_docs(spark, sf).unionByName(_md_pages(spark, sf)))
+    """K6: documents and pages under all four strategies; the pages are rewritten once and stored for them."""
+    return K.chunk_all(_docs(spark, sf).unionByName(cut_lineage(_md_pages(spark, sf), "pages")))
 
 
 def q_chunk_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,7 +97,9 @@ SELECT source_path, tier::BIGINT AS tier FROM pool ORDER BY tier, source_path LI
 
 
 def q_sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return K.sample_rows(_all_chunks(spark, sf)).select("source_path", "strategy", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "preview")
+    # a source's chunks are numbered from 0 without gaps, so its first four are among these; no other is shuffled
+    first = _all_chunks(spark, sf).where(F.col("chunk_idx") < 4)
+    return K.sample_rows(first, per=4).select("source_path", "strategy", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "preview")
 
 
 def q_bm25_chunks(spark: SparkSession, sf: str) -> DataFrame:
