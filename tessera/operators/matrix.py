@@ -13,9 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.retrieve import METHODS, retrieve_many, with_sources
+from tessera.operators.retrieve import METHODS, bm25_topk, retrieve_many, with_sources
 from tessera.operators.stored import build_index
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, delete_paths, stored_copies
 
 KEYS = ["strategy", "model", "method"]
 
@@ -37,14 +37,22 @@ def run_matrix(questions: DataFrame, corpora: Mapping[str, DataFrame], embedders
                k: int = 10, fetch_k: int = 20, states: Mapping[str, str] | None = None) -> Matrix:
     """Ranked lists of ``questions(query_id, question)`` for each strategy of ``corpora`` (its passages: ``chunk_id,
     source_path, text``), each of ``embedders`` and each method. Indexes are kept under ``folder`` and opened again while
-    ``states`` (by strategy; else the passages' content) stays the same; the models of a strategy share its postings."""
+    ``states`` (by strategy; else the passages' content) stays the same. The models of a strategy share its postings and
+    what BM25 finds in them, and its passages, which are cut once and stored until its last model is through."""
     lists: list[DataFrame] = []
     combos, failed = [], []
     for strategy, passages in corpora.items():
+        stored, found, temp = None, {}, []
         for emb in embedders:
             try:
-                index = build_index(passages, folder, strategy, emb, (states or {}).get(strategy))
-                per = retrieve_many(questions, passages, list(methods), k=k, fetch_k=fetch_k, embedder=emb, index=index)
+                if stored is None:
+                    with stored_copies() as temp:
+                        stored = cut_lineage(passages, "passages")
+                index = build_index(stored, folder, strategy, emb, (states or {}).get(strategy))
+                at = index.folders["postings"]
+                if at not in found and set(methods) - {"dense"}:
+                    found[at] = cut_lineage(bm25_topk(questions, index.bm25, max(k, fetch_k)), "bm25")
+                per = retrieve_many(questions, stored, list(methods), k=k, fetch_k=fetch_k, embedder=emb, index=index, bm25_list=found.get(at))
                 own = None
                 for m in methods:
                     r = per[m].select(F.lit(strategy).alias("strategy"), F.lit(emb.model).alias("model"), F.lit(m).alias("method"), "query_id", "rank", "chunk_id", "score")
@@ -54,6 +62,7 @@ def run_matrix(questions: DataFrame, corpora: Mapping[str, DataFrame], embedders
                 failed.append({"strategy": strategy, "model": emb.model, "error": f"{type(e).__name__}: {e}".split("\n")[0][:500]})
                 continue
             combos += [{"strategy": strategy, "model": emb.model, "method": m} for m in methods]
+        delete_paths(questions.sparkSession, temp)
     ranked = None
     for r in lists:
         ranked = r if ranked is None else ranked.unionByName(r)
