@@ -291,8 +291,8 @@ def minimum_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list
     """Which nodes stay with the source: node i has capacity ``costs[i]`` from it (or to the sink where
     negative), and the undirected ``edges`` theirs. Maximum flow along shortest paths (Dinic)."""
     n = len(costs)
-    if not any(c < 0 for c in costs) or not any(c > 0 for c in costs):
-        return [c > 0 for c in costs]
+    if not any(c > 0 for c in costs):
+        return [False] * n
     to: list[int] = []
     cap: list[float] = []
     links: list[list[int]] = [[] for _ in range(n)]
