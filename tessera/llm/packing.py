@@ -13,8 +13,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Recent, text_slices
+from tessera.llm.common import text_slices
 from tessera.session import cut_lineage, ship_package
 
 #: Lengths are rounded up to this many classes in the patterns.
@@ -33,15 +34,46 @@ REMEMBERED = 700_000
 _PLAIN = re.compile("[\x21-\x7e\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 _UNITS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f0-9]+")
 _RARE_SPACE = re.compile("[\x1c-\x1f]")
+#: The letter by which the tokenizer's model knows a byte: printable ones stand for themselves, others follow U+0100 in order.
+_PRINTED = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+_BYTE_LETTERS = {b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTED)}
 _TOKENIZERS: dict = {}
 
 
+class Words(dict):
+    """Ids of words as bytes, each worked out by ``encode`` when it is first looked up. About ``most`` to ``2 * most`` of
+    those met last are remembered: ``turn`` gives the words for the next texts, which still finds those of the one before."""
+
+    def __init__(self, encode: Callable[[Words, str], bytes], most: int, older: dict | None = None):
+        self.encode, self.most, self.older = encode, most, older or {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(self, word)
+        self[word] = ids
+        return ids
+
+    def turn(self) -> Words:
+        if len(self) <= self.most:
+            return self
+        self.older = {}
+        return Words(self.encode, self.most, self)
+
+    def rest(self, most: int) -> Words:
+        """Those to begin the next task with: no more than ``most``, the first met, as frequent words are met early."""
+        kept = Words(self.encode, self.most)
+        kept.update(islice(chain(self.items(), self.older.items()), most))
+        return kept
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes, word by word.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its words. A word
     of plain Latin letters, digits and signs is cut further into the units that the tokenizer's pattern
-    names, which are far fewer; other words go to the tokenizer as they are. Python also splits at four
+    names, which are far fewer. A unit is what the tokenizer hands its model, byte by byte as letters, so it goes
+    straight there; other words go to the tokenizer as they are. Python also splits at four
     control characters that the tokenizer keeps; a text that holds one is encoded as a whole.
     """
 
@@ -50,38 +82,37 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Recent(REMEMBERED)  # and units, which as words are themselves
+        self.model = self.tokenizer.model
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
+        self.words = Words(self._word, REMEMBERED)  # and units, which as words are themselves
 
     def _encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _learn(self, units: list[str]) -> None:
-        """Many units in one call, with spaces between them."""
-        for at in range(0, len(units), 4096):
-            part = units[at:at + 4096]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, of = np.asarray(e.ids, dtype="<u4").tobytes(), np.asarray(e.word_ids, dtype=np.int64)
-            ends = np.searchsorted(of, np.arange(len(part)), "right")
-            if len(of) and of[-1] == len(part) - 1 and (np.diff(ends, prepend=0) > 0).all():
-                at = [0, *(4 * ends).tolist()]
-                self.words.held.update(zip(part, (ids[a:b] for a, b in zip(at, at[1:]))))
-            else:
-                self.words.held.update((u, self._encode(u)) for u in part)
+    def _unit(self, unit: str) -> bytes:
+        if not unit.isascii():
+            unit = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        of = self.id_bytes
+        return b"".join([of[t.id] for t in self.model.tokenize(unit)])
 
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        split = [None if _RARE_SPACE.search(t) else t.split() for t in texts]
-        new = self.words.missing(set().union(*(ws for ws in split if ws)))
+    def _word(self, words: Words, word: str) -> bytes:
         # a word of small ASCII letters is one unit, as most are; only the others are looked at more closely
-        whole = {w for w in new if w.islower() and w.isascii() and w.isalpha()}
-        cut = {w: _UNITS.findall(w.lower()) for w in new if w not in whole and _PLAIN.fullmatch(w) and "<|" not in w}
-        self._learn([*whole, *self.words.missing(set().union(*cut.values()) - whole, more=True)])
-        words = self.words.held
-        unit = words.__getitem__
-        words.update([(w, b"".join(map(unit, us))) for w, us in cut.items()])
-        words.update((w, self._encode(w)) for w in new if w not in words)
-        word = words.__getitem__
-        for t, ws in zip(texts, split):
-            yield self._encode(t) if ws is None else b"".join(map(word, ws))
+        if word.isascii() and word.isalpha() and word.islower():
+            return self._unit(word)
+        if not _PLAIN.fullmatch(word) or "<|" in word:
+            return self._encode(word)
+        units = _UNITS.findall(word.lower())
+        return self._unit(word) if units == [word] else b"".join(map(words.__getitem__, units))
+
+    def texts(self, texts: list[str]) -> Iterator[bytes]:
+        self.words = self.words.turn()
+        word = self.words.__getitem__
+        for t in texts:
+            yield self._encode(t) if _RARE_SPACE.search(t) else b"".join(map(word, t.split()))
+
+    def rest(self) -> None:
+        """Called at the end of a task."""
+        self.words = self.words.rest(REMEMBERED // 2)
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -110,7 +141,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id
                     rows.append((doc, piece, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]), task, seen[n]))
                     seen[n] += 1
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "_p", "_i"])
-        encode.words.rest(REMEMBERED // 2)
+        encode.rest()
 
     # ids travel as text, for which null is an ordinary value in pandas
     d = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
