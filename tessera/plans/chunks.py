@@ -136,7 +136,7 @@ def q_eval_matrix(spark: SparkSession, sf: str) -> DataFrame:
     if not m.combos:
         raise ValueError(f"every combination failed: {m.failed}")
     qs, docs = questions(spark, sf), doc_corpus(spark, sf)
-    truth = containment_truth(qs, docs)
+    truth = cut_lineage(containment_truth(qs, docs), "truth")  # read twice, found once
     out = hit_mrr(qa_table(qs, truth, docs), m.ranked, truth, M.KEYS, m.combos).select(
         *M.KEYS, "k", "n_questions", F.round("hit_rate", 6).alias("hit_rate"), F.round("mrr", 6).alias("mrr"), F.lit(None).cast("string").alias("error"))
     return out.unionByName(m.failures(spark), allowMissingColumns=True) if m.failed else out

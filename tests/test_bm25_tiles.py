@@ -47,6 +47,22 @@ def test_bm25_by_tiles_is_bm25_by_join(spark):
     assert a == b and len(a) > 100
 
 
+def test_terms_of_few_and_of_many_queries_add_up(monkeypatch):
+    from tessera.operators import retrieve as R
+
+    r = np.random.default_rng(6)
+    m = np.where(r.random((30, 12)) < 0.3, r.normal(size=(30, 12)), 0.0)
+    m[3] = 0
+    hits = [[{"t": int(t), "w": float(r.random())} for t in r.integers(0, 30, r.integers(0, 9))] for _ in range(50)]
+    hits = [[h for i, h in enumerate(hs) if h["t"] not in {x["t"] for x in hs[:i]}] for hs in hits]
+    b = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(hits, pa.list_(pa.struct([("t", pa.int32()), ("w", pa.float64())])))], ["chunk_id", "hits"])
+    want = np.array([sum((m[h["t"]] * h["w"] for h in hs), np.zeros(12)) for hs in hits])
+    for few in (0, 3, 99):  # all by the product, some, none
+        monkeypatch.setattr(R, "FEW_QUERIES", few)
+        assert np.allclose(R._bm25_tile(b, m, R._term_parts(m)), want, atol=1e-12)
+        assert np.allclose(R._bm25_tile(b.slice(7, 20), m, R._term_parts(m)), want[7:27], atol=1e-12)
+
+
 def test_best_of_tiles_is_best_of_all():
     r = np.random.default_rng(4)
     m, ids = r.integers(0, 3, (5, 6)).astype(float), np.arange(90)

@@ -191,6 +191,30 @@ def test_workers_hand_on_pieces_in_bounded_runs():
     assert list(text_runs([])) == []
 
 
+def test_tokens_hashed_in_blocks_have_their_md5():
+    import hashlib
+
+    from tessera.operators.index import TokenHashes, hashed_vectors, token_hashes
+
+    r = np.random.default_rng(5)
+    toks = ["".join(r.choice(list("abcé漢𝄞\x00"), r.integers(1, 40))) for _ in range(3000)] + ["x" * n for n in range(1, 130)] + ["a", "a"]
+    assert token_hashes(toks).tolist() == [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) for t in toks]
+    assert token_hashes([]).tolist() == []
+    texts = [" ".join(toks[i:i + 7]) for i in range(0, 3000, 7)] + ["", None, " \n", "a b a"]
+    assert (hashed_vectors(texts, 32) == hashed_vectors(texts, 32, TokenHashes())).all()
+
+
+def test_ground_truth_is_found_once(spark, monkeypatch):
+    made, keep = [], C.cut_lineage
+    combo = {"strategy": "fixed", "model": "m", "method": "dense"}
+    ranked = spark.createDataFrame([("fixed", "m", "dense", 0, 1, "none")], "strategy string, model string, method string, query_id long, rank int, source_path string")
+    monkeypatch.setattr(C, "cut_lineage", lambda df, name="table", path=None: made.append(name) or keep(df, name, path))
+    monkeypatch.setattr(C, "run_chunk_matrix", lambda *a: M.Matrix(ranked, [combo], []))
+    got = C.q_eval_matrix(spark, SF001)
+    assert made == ["truth"] and "MapInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [(r.k, r.hit_rate) for r in got.orderBy("k").collect()] == [(3, 0.0), (5, 0.0), (10, 0.0)]
+
+
 def test_embedding_and_cutting_keep_to_runs(spark, monkeypatch):
     """An Arrow batch of many texts goes through in runs, and rows keep their own results."""
     from tessera.operators.index import HashedEmbedder, hashed_vectors

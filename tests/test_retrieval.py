@@ -115,6 +115,40 @@ def test_dense_topk_of_a_table_with_itself_in_blocks(spark):
         assert len(got) == len(want) and set(got) == want
 
 
+def test_a_task_hands_on_k_rows_a_query_whatever_its_batches(spark):
+    """The broadcast route keeps the best over all batches of a task, with ids of text, null ids and vectors that hold NaN."""
+    x = np.random.default_rng(8).normal(size=(500, 4))
+    x[10] = np.nan
+    ids = [None if i == 7 else f"c{i:03d}" for i in range(500)]
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "chunk_id string, vec array<double>").coalesce(1)
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:3])], "query_id long, vec array<double>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "60")
+    try:
+        got = dense_topk(q, c, 5)
+        rows = [(r.query_id, r["rank"], r.chunk_id) for r in got.collect()]
+        plan = got._jdf.queryExecution()
+        metric = {}
+        def walk(p):
+            if p.nodeName() == "AdaptiveSparkPlan":
+                p = p.executedPlan()
+            if "MapInArrow" in p.nodeName():
+                m = p.metrics().get("pythonNumRowsReceived")
+                metric["n"] = m.get().value() if m.isDefined() else None
+            ch = p.children()
+            for i in range(ch.size()):
+                walk(ch.apply(i))
+            if p.nodeName().endswith("QueryStage"):
+                walk(p.plan())
+        walk(plan.executedPlan())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    s = np.round(x @ x[:3].T, 9)
+    want = [(j, n + 1, ids[i]) for j in range(3) for n, i in enumerate([i for i in np.lexsort((np.arange(500), -s[:, j])) if i != 10][:5])]
+    assert sorted(rows, key=str) == sorted(want, key=str)
+    assert metric["n"] == 15  # 9 batches with 3 queries, yet 5 rows for each query
+
+
 def test_dense_topk_of_empty_sides(spark):
     q = spark.createDataFrame([(1, [1.0])], "query_id long, vec array<double>")
     c = spark.createDataFrame([], "chunk_id long, vec array<double>")

@@ -204,9 +204,65 @@ def test_sample_is_the_rows_of_least_hashes_and_few_are_sorted(spark):
     assert A.sample_of(same, 300).shape == (300, 2)
 
 
+def test_vectors_are_packed_and_lie_in_one_file_for_each_small_cell(spark):
+    x = _clustered(600, 8)
+    path = _fresh(spark)
+    about = P.build_cells(_frame(spark, x), path, cells=12)
+    index = P.open_cells(spark, path, about)
+    assert index.vectors.schema["vec"].dataType.typeName() == "binary"
+    got = {r.chunk_id: np.frombuffer(r.vec, dtype="<f8") for r in index.vectors.collect()}
+    assert len(got) == 600 and all((got[i] == x[i]).all() for i in range(600))
+    assert len([f for f in _files(spark, f"{path}/vectors") if f.endswith(".parquet")]) == len(about["sizes"]) <= 12
+    q = _frame(spark, x[:40], "query_id")
+    key = lambda d: sorted((r.query_id, r.rank, r.chunk_id) for r in d.collect())
+    lists = key(R.dense_topk(q, _frame(spark, x), 6))
+    assert lists == key(R.dense_topk(q, index.vectors, 6)) == key(R.dense_topk(q, index.vectors, 6, block_bytes=512))
+
+
+def test_a_large_cell_is_dealt_out_to_many_files():
+    sample = np.r_[np.tile([[1.0, 0.0]], (90, 1)), np.tile([[0.0, 1.0]], (10, 1))]
+    assert P.files_for(sample, np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0]]), 1_000_000, 20_000).tolist() == [45, 5, 1]
+    assert P.files_for(np.zeros((0, 2)), np.zeros((1, 2)), 0).tolist() == [1]
+
+
+def test_vectors_of_many_passages_are_never_stored_twice(spark, monkeypatch):
+    """The sample is embedded first and all the others on their way to their cells; the index is the one of the stored vectors."""
+    rows = [(i, f"s/{i}", " ".join(f"w{(i * j) % 17}" for j in range(1, 9))) for i in range(400)] + [(400, "s/400", None)]
+    emb, names = HashedEmbedder(dim=16, model="m"), []
+    keep = P.cut_lineage
+    monkeypatch.setattr(P, "cut_lineage", lambda df, *a, **k: names.append(k.get("path") or a[0]) or keep(df, *a, **k))
+    p = _passages(spark, rows).select("chunk_id", "text")
+    few, many = _fresh(spark), _fresh(spark)
+    a = P.embed_cells(p, emb, few)
+    assert names == [f"{few}/embedded", "sample"]
+    names.clear()
+    b = P.embed_cells(p, emb, many, sample_rows=100)
+    assert names == ["sample"]
+    assert (a["n"], a["ids"], a["cells"]) == (b["n"], b["ids"], b["cells"]) == (401, a["ids"], 20)
+    want = P.sample_of(emb.embed(p, "text").select("chunk_id", "vec"), 100)
+    assert (P.open_cells(spark, many, b).centroids == P.fit_centroids(want, 20)).all()
+    va, vb = ({r.chunk_id: bytes(r.vec) for r in P.open_cells(spark, f, m).vectors.collect()} for f, m in ((few, a), (many, b)))
+    assert va == vb and len(va) == 401
+
+
 def test_nearest_centroid_is_the_first_of_the_best():
     from tessera.operators import approx as A
 
     x, c = np.random.default_rng(2).normal(size=(50, 4)), np.random.default_rng(3).normal(size=(9, 4))
     near, score = A.nearest(x, np.vstack([c, c]), 1)
     assert (near[:, 0] == (x @ c.T).argmax(axis=1)).all() and np.allclose(score[:, 0], (x @ c.T).max(axis=1))
+
+
+def test_buckets_are_written_without_a_sort_and_the_setting_stays(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from tessera.session import cut_by_key, key_buckets
+
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, save = spark.conf.get(key), DataFrameWriter.saveAsTable
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda self, *a, **k: seen.append(spark.conf.get(key)) or save(self, *a, **k))
+    d = spark.range(200).repartition(key_buckets(spark), "id")
+    stored = cut_by_key(d, "id")
+    assert sorted(r.id for r in stored.collect()) == list(range(200)) and seen == ["1"] and spark.conf.get(key) == before
+    assert "Exchange" not in stored.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.id for r in cut_by_key(spark.range(50), "id").collect()) == list(range(50))  # many buckets in a task
